@@ -12,6 +12,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from . import bpe
+
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    encoded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
+    return bpe.decode(encoded, vocabulary).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import quality
 
@@ -29,6 +44,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_toxicity": op5_toxicity,
 }
