@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines
+from . import lines, mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,11 +50,18 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    mixed = mixing.mix(documents, domain_weights=mixing.DOMAINS, lang_weights=mixing.LANGS)
+    return mixed.select("doc_id", "domain", "lang", "source", "epochs")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_toxicity": op5_toxicity,
     "op8_line_dedup": op8_line_dedup,
+    "op10_mixing": op10_mixing,
 }
 
-SQL: dict[str, str] = {"op8_line_dedup": lines.SQL}
+SQL: dict[str, str] = {"op8_line_dedup": lines.SQL, "op10_mixing": mixing.SQL}
