@@ -31,14 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textarrays as ta
+from .shared import small_batches
 
 LONG = 32_768
 #: Words of more characters than this, when cut, are joined by windows of tokens.
 LONG_WORD = 512
 #: A word that ends so many characters before a cut doesn't depend on what follows.
 LOOK_AHEAD = 3
-CACHED_WORDS = 200_000
-CACHED_RUNS = 400_000
+CACHED_WORDS = 100_000
+CACHED_RUNS = 200_000
 #: Characters whose class, case and normal form are the same in all Unicode versions since 5.
 _PLAIN = re.compile(r"[\t-\r -~\x85\xa0-įı-ȶ]*")
 
@@ -64,17 +65,16 @@ class Codec:
         spec["truncation"] = spec["padding"] = None
         self.full = Tokenizer.from_str(json.dumps(spec))
         self.normalizer = self.full.normalizer
-        self.words_only = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "added_tokens": []}))
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.word = re.compile(_for_plain(pattern))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_pattern = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         vocab = self.full.get_vocab(with_added_tokens=True)
-        self.tokens = [""] * (max(vocab.values()) + 1)
+        tokens = [""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
-            self.tokens[i] = token
+            tokens[i] = token
         suffix = spec["model"].get("end_of_word_suffix") or ""
-        self.token_length = np.array([len(t.removesuffix(suffix)) if suffix else len(t) for t in self.tokens], np.int64)
+        self.token_length = np.array([len(t.removesuffix(suffix)) if suffix else len(t) for t in tokens], np.int64)
         self.cache: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
 
@@ -99,7 +99,7 @@ class Codec:
         """Words of a normalised text: start and end."""
         if _PLAIN.fullmatch(text):
             return [m.span() for m in self.word.finditer(text)]
-        return [span for _, span in self.words_only.pre_tokenizer.pre_tokenize_str(text)]
+        return [span for _, span in self.full.pre_tokenizer.pre_tokenize_str(text)]
 
     def encode_plain(self, texts: list[str]) -> list[bytes]:
         """Encodings of whole texts, as little-endian unsigned 32-bit ids."""
@@ -126,10 +126,6 @@ class Codec:
     def merge(self, symbols: str) -> np.ndarray:
         return np.array([t.id for t in self.full.model.tokenize(symbols)], np.uint32) if symbols else np.zeros(0, np.uint32)
 
-    def decode(self, ids: bytes) -> str:
-        """The tokens as the library writes them: without a decoder, parted by spaces."""
-        return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-
 
 @lru_cache(1)
 def _byte_symbols() -> dict[int, int]:
@@ -139,6 +135,20 @@ def _byte_symbols() -> dict[int, int]:
     return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(rest)}
 
 
+@lru_cache(4)
+def token_strings(path: str) -> list[str]:
+    """The vocabulary's tokens by id, special tokens included."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    by_id = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return [by_id.get(i, "") for i in range(max(by_id) + 1)]
+
+
+def decode_ids(tokens: list[str], ids: bytes) -> str:
+    """The tokens as the library writes them: without a decoder, parted by spaces."""
+    return " ".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
 @lru_cache(4)
 def codec(path: str) -> Codec:
     return Codec(path)
@@ -279,8 +289,8 @@ def encode(documents: DataFrame, vocabulary: str, text: str = "text", into: str
             lists = []
             for piece in batch.column("_piece").to_pylist():
                 e = Encoded.of(c, piece or "")
-                lists.append((np.array([x for w in e.words for x in w], "<i4").tobytes(), np.array([len(x) for x in e.ids], "<i4").tobytes(), np.concatenate([np.zeros(0, np.uint32), *e.ids]).astype("<u4").tobytes()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x, pa.binary()) for x in zip(*lists, strict=True))], names=[*batch.schema.names, "_words", "_counts", "_ids"])
+                lists.append((np.array([len(x) for x in e.ids], "<i4").tobytes(), np.concatenate([np.zeros(0, np.uint32), *e.ids]).astype("<u4").tobytes()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x, pa.binary()) for x in zip(*lists, strict=True))], names=[*batch.schema.names, "_counts", "_ids"])
 
     def joined(group: pa.Table) -> pa.Table:
         c = codec(vocabulary)
@@ -290,15 +300,16 @@ def encode(documents: DataFrame, vocabulary: str, text: str = "text", into: str
             if r["_special"] >= 0:
                 out.append(np.array([r["_special"]], np.uint32))
                 continue
-            words = np.frombuffer(r["_words"], "<i4").reshape(-1, 2)
-            ids = np.split(np.frombuffer(r["_ids"], "<u4"), np.cumsum(np.frombuffer(r["_counts"], "<i4"))[:-1]) if len(words) else []
-            run.append(Encoded(r["_piece"], [(a, b) for a, b in words.tolist()], ids))
+            words = c.scan(r["_piece"])
+            ids = np.split(np.frombuffer(r["_ids"], "<u4"), np.cumsum(np.frombuffer(r["_counts"], "<i4"))[:-1]) if words else []
+            run.append(Encoded(r["_piece"], words, ids))
             if k + 1 == len(rows) or rows[k + 1]["_part"] != r["_part"]:
                 out.append(join_all(c, run))
                 run = []
         ids = np.concatenate([np.zeros(0, np.uint32), *out]).astype("<u4").tobytes()
         return pa.table({"_key": pa.array([rows[0]["_key"]]), "_long_ids": pa.array([ids], pa.binary())})
 
+    small_batches(documents.sparkSession)
     documents = documents.withColumn(text, F.col(text).cast("string"))
     is_long = F.coalesce(F.char_length(text) > long, F.lit(False))
     short = documents.filter(~is_long).withColumn(into, encoded(F.col(text)))
@@ -306,7 +317,7 @@ def encode(documents: DataFrame, vocabulary: str, text: str = "text", into: str
     # equal long texts are encoded once; a group holds the pieces of one text
     once = tall.groupBy("_key").agg(F.first(text).alias("_text"))
     dealt = once.mapInArrow(pieces, "_key string, _no int, _part int, _piece string, _special int").repartition("_key", "_no")
-    done = dealt.mapInArrow(piece_ids, "_key string, _no int, _part int, _piece string, _special int, _words binary, _counts binary, _ids binary")
+    done = dealt.mapInArrow(piece_ids, "_key string, _no int, _part int, _piece string, _special int, _counts binary, _ids binary")
     joined_ids = done.groupBy("_key").applyInArrow(joined, "_key string, _long_ids binary")
     tall = tall.join(joined_ids, "_key", "left").withColumn(into, F.coalesce("_long_ids", F.lit(b""))).drop("_key", "_long_ids")
     return short.unionByName(tall)
@@ -317,8 +328,8 @@ def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids", into: str = "d
 
     @F.arrow_udf("string")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        c = codec(vocabulary)
+        tokens = token_strings(vocabulary)
         for column in batches:
-            yield pa.array([c.decode(x or b"") for x in column.to_pylist()], pa.string())
+            yield pa.array((decode_ids(tokens, x.as_py() or b"") for x in column), pa.string(), size=len(column))
 
     return encoded.withColumn(into, decoded(F.col(ids)))
