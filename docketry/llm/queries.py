@@ -29,6 +29,16 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import kneserney
+    from .labelled import fold
+
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(fold("doc_id", 7) == 2, F.lit(False))
+    scored = kneserney.score(documents, kneserney.train(documents.filter(~held_out)))
+    return scored.withColumn("held_out", held_out)
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import quality
 
@@ -58,6 +68,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_lm_scoring": op2_lm_scoring,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_toxicity": op5_toxicity,
     "op8_line_dedup": op8_line_dedup,
