@@ -55,6 +55,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import jaccard
+
+    return jaccard.join(_table(spark, sf_dir, "documents").select("doc_id", "text"), width=4, percent=85)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
@@ -71,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lm_scoring": op2_lm_scoring,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_toxicity": op5_toxicity,
+    "op6_jaccard_join": op6_jaccard_join,
     "op8_line_dedup": op8_line_dedup,
     "op10_mixing": op10_mixing,
 }
