@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mixing
+from . import lines, mixing, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,11 +61,21 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(_table(spark, sf_dir, "documents").select("doc_id", "text"), width=4, percent=85)
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
 
 
+def op9_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import lattice
+
+    return lattice.dedup(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), threshold=0.93)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     mixed = mixing.mix(documents, domain_weights=mixing.DOMAINS, lang_weights=mixing.LANGS)
@@ -78,8 +88,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_toxicity": op5_toxicity,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_topk": op7_topk,
     "op8_line_dedup": op8_line_dedup,
+    "op9_lattice_dedup": op9_lattice_dedup,
     "op10_mixing": op10_mixing,
 }
 
-SQL: dict[str, str] = {"op8_line_dedup": lines.SQL, "op10_mixing": mixing.SQL}
+SQL: dict[str, str] = {"op7_topk": topk.SQL, "op8_line_dedup": lines.SQL, "op10_mixing": mixing.SQL}
