@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mixing, topk
+from . import chat, lines, mixing, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", held_out)
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(_table(spark, sf_dir, "conversations"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import quality
 
@@ -85,6 +89,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_chat_formatting": op3_chat_formatting,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_toxicity": op5_toxicity,
     "op6_jaccard_join": op6_jaccard_join,
@@ -94,4 +99,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
 }
 
-SQL: dict[str, str] = {"op7_topk": topk.SQL, "op8_line_dedup": lines.SQL, "op10_mixing": mixing.SQL}
+SQL: dict[str, str] = {"op3_chat_formatting": chat.SQL, "op7_topk": topk.SQL, "op8_line_dedup": lines.SQL, "op10_mixing": mixing.SQL}
