@@ -14,7 +14,7 @@ def set_overlap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     sides = left.select(key, F.lit(1).alias("side")).unionByName(right.select(key, F.lit(2).alias("side")))
     per_key = sides.groupBy(key).agg(F.count_if(F.col("side") == 1).alias("a"), F.count_if(F.col("side") == 2).alias("b")).filter(F.col(key).isNotNull())
     return per_key.agg(
-        F.count_if("a > 0").alias("left_keys"), F.count_if("b > 0").alias("right_keys"), F.count_if("a > 0 and b > 0").alias("shared"), F.count("*").alias("deduplicated")
+        F.count_if(F.col("a") > 0).alias("left_keys"), F.count_if(F.col("b") > 0).alias("right_keys"), F.count_if((F.col("a") > 0) & (F.col("b") > 0)).alias("shared"), F.count("*").alias("deduplicated")
     )
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import classify, extract, redaction, text
-from ..operators import audit, joins
+from ..operators import audit, chunking, joins, retrieval
+from ..streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -410,3 +411,61 @@ SELECT * FROM (VALUES ('central', '', 'legislation', TRUE), ('state', 'kerala',
 def repaired_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = values(spark, "('central', 'central', 'central', 'in_force'), ('regulatory', 'regulatory', 'Kerala', 'repealed'), ('state', 'state', '', 'Spent')", "jurisdiction, category, state, act_status")
     return schemas.taxonomy(rows).select("jurisdiction", "state", "instrument_type", "in_force")
+
+
+@query()
+def chunked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chunks = chunking.chunk(docs).join(docs.select("doc_id", "source"), "doc_id")
+    typed = chunking.with_context(chunks, F.concat(F.lit("Document "), F.col("doc_id").cast("string")), F.lit(""), F.lit(0), F.col("source"))
+    return typed.select("doc_id", "chunk_index", "total_chunks", "char_start", "char_end", "section_type", "section_priority", F.md5("text").alias("text_md5"))
+
+
+@query("""
+SELECT * FROM (VALUES ('preamble', 'An Act to', 0, 24, NULL, NULL), ('part_heading', 'I', 24, 32, NULL, 'I'), ('chapter_heading', 'II', 32, 44, 'II', 'I'), ('section', '1', 44, 59, 'II', 'I'), ('section', '2A', 59, 99, 'II', 'I'), ('schedule', 'FIRST SCHEDULE', 99, 113, 'II', 'I'))
+t(type, number, char_start, char_end, chapter, part)""")
+def act_provisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    acts = values(spark, r"('x', 'An Act to test a thing.\nPART I \nCHAPTER II \n1. Short title\n**2A. Second thing**\n> 1. Subs. by Act\nFIRST SCHEDULE')", "act_id, text")
+    return chunking.provisions(acts).select("type", "number", F.col("char_start").cast("int"), F.col("char_end").cast("int"), "chapter", "part")
+
+
+_TOKENS = f"list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'), lambda t: NOT list_contains([{', '.join(repr(w) for w in retrieval.STOPWORDS)}], t) AND length(t) <= 40)"
+_BM25 = f"""d AS (SELECT doc_id, {_TOKENS} AS t FROM documents), tf AS (SELECT doc_id, len(t) AS len, unnest(t) AS token FROM d),
+c AS (SELECT doc_id, token, len, count(*) AS tf FROM tf GROUP BY ALL), q AS (SELECT item_id, unnest(list_distinct({_TOKENS})) AS token FROM benchmark),
+df AS (SELECT token, count(*) AS df FROM c GROUP BY 1), n AS (SELECT count(*) AS n FROM documents),
+s AS (SELECT item_id AS query_id, doc_id, sum(tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / 256)) * ln(1 + (n - df + 0.5) / (df + 0.5))) AS score FROM q JOIN c ON q.token = c.token JOIN df ON df.token = c.token, n GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM s)"""
+
+
+def _bm25(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    return retrieval.bm25(retrieval.postings(docs, "doc_id", "text"), docs.count(), queries, k, "doc_id")
+
+
+@query(f"WITH {_BM25} SELECT query_id, doc_id, rank::INT AS rank, round(score, 4) AS score FROM r WHERE rank <= 5")
+def bm25_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bm25(spark, sf_dir, 5).select("query_id", "doc_id", "rank", F.round("score", 4).alias("score"))
+
+
+@query(f"""WITH {_BM25}, b AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY doc_id) AS rank FROM r WHERE rank <= 50), u AS (SELECT query_id, doc_id, rank FROM r WHERE rank <= 50 UNION ALL SELECT query_id, doc_id, rank FROM b)
+SELECT query_id, doc_id, round(sum(1 / (60 + rank)), 9) AS score FROM u GROUP BY ALL""")
+def fused_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    by_score = _bm25(spark, sf_dir, 50)
+    by_id = by_score.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("doc_id")))
+    return retrieval.fused([by_score, by_id], "query_id", "doc_id").select("query_id", "doc_id", F.round("score", 9).alias("score"))
+
+
+@query("""
+WITH g AS (SELECT n_nationkey AS id, list_distinct(list_transform(range(1, length('  ' || lower(n_name) || ' ') - 1), lambda i: substr('  ' || lower(n_name) || ' ', i, 3))) AS t FROM nation WHERE n_name NOT LIKE '% %' AND NOT regexp_matches(n_name, '[^A-Za-z0-9]')),
+p AS (SELECT a.id AS query_id, b.id AS id, len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t))) AS s FROM g a JOIN g b ON true)
+SELECT query_id, id, round(s, 6) AS similarity FROM p WHERE s >= 0.3""")
+def trigram_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = table(spark, sf_dir, "nation").filter("n_name not like '% %' and not n_name rlike '[^A-Za-z0-9]'").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    found = retrieval.trigram_search(names, names.select(F.col("id").alias("query_id"), F.col("name").alias("query")), "id", "name", "query_id", "query")
+    return found.select("query_id", "id", F.round("similarity", 6).alias("similarity"))
+
+
+@query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.windowed_counts(table(spark, sf_dir, "events"), "ts", "event_type")
