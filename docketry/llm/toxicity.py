@@ -154,13 +154,15 @@ def _bags(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found]), owner, first
 
 
-def train(texts: list[str], labels: np.ndarray, epochs: int = 20, warm_up: int = 3, batch: int = 64, seed: int = 5) -> Model:
+def train(texts: list[str], labels: np.ndarray, epochs: int = 20, batch: int = 64, seed: int = 5) -> Model:
     """Fit embeddings and softmax jointly by Adagrad over small batches of texts.
 
-    While warming up, a text's whole bag takes its label; then only its most
-    toxic span by the model so far does, as one span decides a text.  n-grams
-    that no training text has say nothing.  With no rows, or rows of one class
-    only, the model answers a constant.
+    A text's most toxic span by the model so far takes its label, as one span
+    decides a text.  So that the right spans are found from the start, the first
+    dimension begins as each n-gram's log odds over the texts of both classes,
+    less for rare ones.  n-grams that no training text has say nothing.  A sixth
+    of the batches is kept out of training, to scale the scores by.  With no
+    rows, or rows of one class only, the model answers a constant.
     """
     rng = np.random.default_rng(seed)
     model = Model(rng.normal(0, 0.02, (BUCKETS, DIM)).astype(np.float32), rng.normal(0, 0.5, (DIM, 2)), np.zeros(2))
@@ -171,28 +173,35 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 20, warm_up: int =
     order = rng.permutation(len(texts))
     weight = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels).mean())
     batches = [(rows, *_bags([(texts[i] or "").encode() for i in rows])) for rows in np.array_split(order, max(1, len(order) // batch))]
-    seen = np.zeros(BUCKETS, bool)
-    for _, buckets, *_ in batches:
-        seen[buckets] = True
-    model.embeddings[~seen] = 0
+    batches, spare = [b for k, b in enumerate(batches) if k % 6 != 5], [b for k, b in enumerate(batches) if k % 6 == 5]
+    held = np.zeros((2, BUCKETS))
+    for rows, buckets, block, owner, _ in batches:
+        one_each = np.unique(owner[block].astype(np.int64) * BUCKETS + buckets)
+        of_class = labels[rows][one_each // BUCKETS]
+        for k in (0, 1):
+            held[k] += np.bincount(one_each[of_class == k] % BUCKETS, minlength=BUCKETS)
+    odds = np.log((held[1] + 0.5) / (labels.sum() + 1)) - np.log((held[0] + 0.5) / ((1 - labels).sum() + 1))
+    model.embeddings[held.sum(0) == 0] = 0
+    model.embeddings[:, 0] = odds * held.sum(0) / (held.sum(0) + 3)
+    model.weights[0] = -7, 7
+    model.bias[:] = 1.5, -1.5
     squares = [np.full_like(p, 1e-6) for p in (model.embeddings, model.weights, model.bias)]
     for epoch in range(epochs):
-        rate = 0.3 if epoch < epochs * 2 // 3 else 0.1
+        rate = 0.2 if epoch < epochs * 2 // 3 else 0.05
         for k in rng.permutation(len(batches)):
             rows, buckets, block, owner, first = batches[k]
-            if epoch >= warm_up:
-                v = np.bincount(block, weights=model.evidence()[buckets], minlength=len(owner))
-                c = np.bincount(block, minlength=len(owner)).astype(float)
-                inner = np.flatnonzero(owner[1:] == owner[:-1])
-                v[inner], c[inner] = v[inner] + v[inner + 1], c[inner] + c[inner + 1]
-                v /= c + NEUTRAL
-                v[first[1:][np.diff(first) > 1] - 1] = -np.inf
-                best = np.lexsort((-v, owner))[first[:-1]]
-                mask = np.zeros(len(owner), bool)
-                mask[best] = True
-                mask[np.minimum(best + 1, first[1:] - 1)] = True
-                use = mask[block]
-                buckets, block = buckets[use], block[use]
+            v = np.bincount(block, weights=model.evidence()[buckets], minlength=len(owner))
+            c = np.bincount(block, minlength=len(owner)).astype(float)
+            inner = np.flatnonzero(owner[1:] == owner[:-1])
+            v[inner], c[inner] = v[inner] + v[inner + 1], c[inner] + c[inner + 1]
+            v /= c + NEUTRAL
+            v[first[1:][np.diff(first) > 1] - 1] = -np.inf
+            best = np.lexsort((-v, owner))[first[:-1]]
+            mask = np.zeros(len(owner), bool)
+            mask[best] = True
+            mask[np.minimum(best + 1, first[1:] - 1)] = True
+            use = mask[block]
+            buckets, block = buckets[use], block[use]
             of = owner[block]
             count = NEUTRAL + np.bincount(of, minlength=len(rows))
             e = model.embeddings[buckets]
@@ -210,9 +219,26 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 20, warm_up: int =
             for value, square, grad in ((model.weights, squares[1], h.T @ g), (model.bias, squares[2], g.sum(0))):
                 square += grad**2
                 value -= 0.3 * rate * grad / np.sqrt(square)
+    if spare:
+        kept = np.concatenate([b[0] for b in spare])
+        _scale(model, probabilities(model.evidence(), float(model.bias[1] - model.bias[0]), [(texts[i] or "").encode() for i in kept]), labels[kept])
     return model
 
 
+def _scale(model: Model, p: np.ndarray, y: np.ndarray) -> None:
+    """Stretch and move the logits so that ``p``, on texts that the model hasn't seen, are likeliest."""
+    if y.min() == y.max():
+        return
+    z = np.log(p / (1 - p))
+    a, b = 1.0, 0.0
+    for _ in range(500):
+        g = (1 / (1 + np.exp(-(a * z + b))) - y) / len(y)
+        a, b = max(0.2, a - 0.3 * float((g * z).sum())), b - 0.3 * float(g.sum())
+    move = a * float(model.bias[1] - model.bias[0]) + b
+    model.weights *= a
+    model.bias[:] = -move / 2, move / 2
+
+
 def score(documents: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
     """``documents`` with the probability of toxicity in ``into`` (replaced if there already)."""
     small_batches(documents.sparkSession)
