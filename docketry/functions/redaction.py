@@ -75,7 +75,8 @@ def _near(pattern: str, words: list[str]) -> str:
     """``pattern`` where one of the words stands, as a word, within the window before or after it."""
     around = [f"(?<=\\b{w}\\b[\\s\\S]{{0,{CONTEXT_WINDOW - len(w)}}})" for w in words]
     ahead = [f"(?=[\\s\\S]{{0,{CONTEXT_WINDOW - len(w)}}}\\b{w}\\b)" for w in words]
-    return f"(?:(?i:{'|'.join(around)}){pattern}|{pattern}(?i:{'|'.join(ahead)}))"
+    # what must be masked is looked for first: the window is only searched around it
+    return f"(?={pattern})(?:(?i:{'|'.join(around)}){pattern}|{pattern}(?i:{'|'.join(ahead)}))"
 
 
 def _masked(text: Column, pattern: str, valid=None) -> tuple[Column, Column]:
