@@ -19,8 +19,9 @@ BAD = "_bad"
 def json_lines(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
     """Good records, and the lines that aren't JSON; gzip files are read by name."""
     fields = StructType([*schema.fields, StructField(BAD, StringType())])
-    rows = spark.read.schema(fields).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD).json(path)
-    return rows.filter(F.col(BAD).isNull()).drop(BAD), rows.filter(F.col(BAD).isNotNull()).select(BAD)
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    rows = lines.select("value", F.from_json("value", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}).alias("r"))
+    return rows.filter(F.col(f"r.{BAD}").isNull()).select("r.*").drop(BAD), rows.filter(F.col(f"r.{BAD}").isNotNull()).select(F.col("value").alias(BAD))
 
 
 def tar_lines(spark: SparkSession, path: str) -> DataFrame:
