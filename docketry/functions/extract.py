@@ -160,8 +160,11 @@ def case_header(title: Column, citation: Column, year: Column, section: Column,
 
 def citations(text: Column) -> Column:
     """All citations of a text as an array of structs of reporter and raw text."""
-    found = [F.transform(F.regexp_extract_all(text, F.lit(p), 0), lambda x, name=name: F.struct(F.lit(name).alias("reporter"), x.alias("raw"))) for name, p in REPORTERS.items()]
-    return F.flatten(F.array(*found))
+
+    def of(reporter: str, pattern: str) -> Column:
+        return F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), lambda x: F.struct(F.lit(reporter).alias("reporter"), x.alias("raw")))
+
+    return F.flatten(F.array(*(of(reporter, pattern) for reporter, pattern in REPORTERS.items())))
 
 
 def _undotted(citation: Column) -> Column:
