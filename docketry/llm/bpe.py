@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textarrays as ta
-from .shared import small_batches
+from .shared import small_batches, tidy
 
 LONG = 32_768
 #: Words of more characters than this, when cut, are joined by windows of tokens.
@@ -263,6 +263,7 @@ def encode(documents: DataFrame, vocabulary: str, text: str = "text", into: str
     """
 
     @F.arrow_udf("binary")
+    @tidy
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         c = codec(vocabulary)
         for texts in batches:
@@ -316,8 +317,8 @@ def encode(documents: DataFrame, vocabulary: str, text: str = "text", into: str
     tall = documents.filter(is_long).withColumn("_key", F.sha2(F.col(text), 256))
     # equal long texts are encoded once; a group holds the pieces of one text
     once = tall.groupBy("_key").agg(F.first(text).alias("_text"))
-    dealt = once.mapInArrow(pieces, "_key string, _no int, _part int, _piece string, _special int").repartition("_key", "_no")
-    done = dealt.mapInArrow(piece_ids, "_key string, _no int, _part int, _piece string, _special int, _counts binary, _ids binary")
+    dealt = once.mapInArrow(tidy(pieces), "_key string, _no int, _part int, _piece string, _special int").repartition("_key", "_no")
+    done = dealt.mapInArrow(tidy(piece_ids), "_key string, _no int, _part int, _piece string, _special int, _counts binary, _ids binary")
     joined_ids = done.groupBy("_key").applyInArrow(joined, "_key string, _long_ids binary")
     tall = tall.join(joined_ids, "_key", "left").withColumn(into, F.coalesce("_long_ids", F.lit(b""))).drop("_key", "_long_ids")
     return short.unionByName(tall)
@@ -327,6 +328,7 @@ def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids", into: str = "d
     """``encoded`` with the text that the library's decode(ids, skip_special_tokens=False) gives; null ids give an empty text."""
 
     @F.arrow_udf("string")
+    @tidy
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = token_strings(vocabulary)
         for column in batches:

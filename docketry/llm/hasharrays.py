@@ -11,8 +11,8 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, partial
 from urllib.parse import urlparse
 
 import numpy as np
@@ -140,9 +140,20 @@ def put(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
     os.replace(temporary, f"{path}/{name}")
 
 
-@lru_cache(8192)
 def get(folder: str, name: str) -> dict[str, np.ndarray] | None:
-    """Arrays of a file, mapped into memory where the shared folder is mounted, or else read; None if it isn't there."""
+    """Arrays of a file, mapped into memory where the shared folder is mounted, or else read; None if it isn't there.
+
+    A worker keeps the files of one folder: with the next folder those of the last are let go.
+    """
+    return _files_of(folder)(name)
+
+
+@lru_cache(1)
+def _files_of(folder: str) -> Callable[[str], dict[str, np.ndarray] | None]:
+    return lru_cache(8192)(partial(_read, folder))
+
+
+def _read(folder: str, name: str) -> dict[str, np.ndarray] | None:
     path = local_path(folder)
     try:
         if path is not None:

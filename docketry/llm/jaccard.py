@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import hasharrays as ha
 from . import textarrays as ta
-from .shared import components, new_folder, small_batches, written
+from .shared import components, new_folder, small_batches, tidy, written
 
 GROUP = 32
 #: Candidates of one group that a task compares with it.
@@ -62,7 +62,7 @@ def _signatures(texts: DataFrame, kind: str, width: int, percent: int) -> DataFr
             ha.put(folder, f"s{bucket:06d}", {"keys": keys[twice], "counts": ha._narrow(counts[twice])})
             yield pa.RecordBatch.from_pydict({"n": [int(twice.sum())]})
 
-    ha.merged(texts.select("text").mapInArrow(count, ha.BLOBS)).mapInArrow(write, "n long").agg(F.sum("n")).collect()
+    ha.merged(texts.select("text").mapInArrow(tidy(count), ha.BLOBS)).mapInArrow(tidy(write), "n long").agg(F.sum("n")).collect()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,7 +97,7 @@ def _signatures(texts: DataFrame, kind: str, width: int, percent: int) -> DataFr
                     names=["id", "n", "f1", "f2", "tokens", "places", "set"],
                 )
 
-    return written(texts.mapInArrow(sign, f"id {kind}, n long, f1 long, f2 long, tokens array<long>, places array<int>, set binary"), "signatures")
+    return written(texts.mapInArrow(tidy(sign), f"id {kind}, n long, f1 long, f2 long, tokens array<long>, places array<int>, set binary"), "signatures")
 
 
 def _opened(candidates: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -135,7 +135,7 @@ def _opened(candidates: DataFrame, members: DataFrame, sets: DataFrame, percent:
                         dst.append(m)
             yield pa.RecordBatch.from_arrays([pa.array(src, batch.column(3).type), pa.array(dst, batch.column(3).type)], names=["src", "dst"])
 
-    return dealt.mapInArrow(compare, f"src {kind}, dst {kind}")
+    return dealt.mapInArrow(tidy(compare), f"src {kind}, dst {kind}")
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import textarrays as ta
 from .labelled import fold, labelled_sample
-from .shared import small_batches
+from .shared import small_batches, tidy
 
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 18
@@ -245,6 +245,7 @@ def score(documents: DataFrame, model: Model, text: str = "text", into: str = "s
     shared = documents.sparkSession.sparkContext.broadcast((model.evidence(), float(model.bias[1] - model.bias[0])))  # a fixed 1 MB
 
     @F.arrow_udf("double")
+    @tidy
     def probability(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             found = [np.zeros(0)]
