@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions import classify, extract, redaction, text
+from ..functions import classify, extract, judgments, redaction, text
 from ..operators import audit, chunking, joins, retrieval
 from ..streaming import ingest
 
@@ -413,6 +413,28 @@ def repaired_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.taxonomy(rows).select("jurisdiction", "state", "instrument_type", "in_force")
 
 
+@query("""
+SELECT * FROM (VALUES ('2011-01-01', 'WRIT PETITION', '5 of 2010', 'WRIT', 'DIVISION BENCH', 'ALLOWED'), ('1950-07-05', 'CRIMINAL APPEAL', '12 of 1949', 'CRIMINAL', NULL, 'DISMISSED'), (NULL, NULL, NULL, NULL, NULL, NULL))
+t(decision_date, case_type, case_number, jurisdiction, bench_type, disposal_status)""")
+def judgment_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    heads = r"('WRIT PETITION No. 5 of 2010\nDATE : 1 January 2011\nDivision Bench\nThe petition is allowed.'), ('Criminal Appeal No. 12 of 1949\nDATED : 5/7/50\nThe appeal is dismissed.'), ('nothing')"
+    return values(spark, heads, "t").select(judgments.metadata(F.col("t")).alias("m")).select("m.decision_date", "m.case_type", "m.case_number", "m.jurisdiction", "m.bench_type", "m.disposal_status")
+
+
+@query("""
+SELECT * FROM (VALUES ('DISPOSED OF', 12::BIGINT), ('DISMISSED', 10::BIGINT)) t(disposition, n)""")
+def disposition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = values(spark, "('disposed off', 7), ('DISPOSAL no costs', 5), ('Dismissed', 6), ('DISSMISSED', 4), ('HEARD', 90), ('QUASHED', 9)", "raw, n")
+    return raw.select(judgments.disposition(F.col("raw")).alias("disposition"), "n").filter("disposition is not null").groupBy("disposition").agg(F.sum("n").alias("n")).filter("n >= 10")
+
+
+@query("""
+SELECT * FROM (VALUES ('HCMA01', 'Madras High Court', 'madras'), ('HCMD02', 'Madras High Court', 'madras'), ('ODHC03', 'Orissa High Court', 'orissa'), ('ZZZZ04', NULL, NULL)) t(case_id, court, slug)""")
+def court_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = values(spark, "('HCMA01'), ('HCMD02'), ('ODHC03'), ('ZZZZ04')", "case_id").withColumn("court", judgments.court_name(F.col("case_id")))
+    return named.withColumn("slug", judgments.court_slug(F.col("court")))
+
+
 @query()
 def chunked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
