@@ -1,41 +1,47 @@
-"""LM scoring: an interpolated modified Kneser-Ney bigram model, counted in Spark.
+"""LM scoring: an interpolated modified Kneser-Ney model of any order from 2 on, counted in Spark.
 
 Words are 64-bit hashes.  A first pass counts words into sorted hash arrays; a
-word's number is its place in them.  A second pass counts pairs of numbers,
-from which tasks derive continuation counts and each context's discounts.  All
-arrays lie in the shared folder; scoring tasks map them into memory and look up
+word's number is its place in them.  A pass for each further level counts
+n-grams by the number of their first n - 1 words and the number of the last,
+and an n-gram's number is again its place.  The last pass counts those of the
+model's order; from the highest level down, each level's tasks derive what the
+level below needs: how many distinct words stand before each of its n-grams.
+All arrays lie in the shared folder; tasks map them into memory and look up
 whole batches at once.  Only totals, counts of counts and the few contexts that
-hold a noticeable share of all pairs reach the driver.
+hold a noticeable share of a level reach the driver.
 
-A text's tokens are its words and one end; its first token follows a start.
-The probability of token w after h is
+A text's tokens are its words and one end; as many starts as a context has
+words come before.  The probability of token w after the n - 1 words h is
 
-    max(c(hw) - D, 0) / c(h) + g(h) * P(w),
+    P(w | h) = max(c(hw) - D, 0) / c(h) + g(h) * P(w | h without its first word),
     P(w) = max(n(w) - D', 0) / n + g / (V + 1)
 
-with n(w) the number of distinct tokens seen before w, D and D' the modified
-discounts for counts of one, two and more, and g what they set free.  The V
-words of the training texts and one unknown word share the last term, so the
-probabilities after any h sum to 1.  After an unknown h the probability is P(w).
+with c(hw) the n-gram's count at the highest level and below it the number of
+distinct tokens seen before hw, c(h) their sum over w, n(w) the number of
+distinct tokens seen before w, D the modified discounts of the level for counts
+of one, two and more, and g what they set free.  The V words of the training
+texts and one unknown word share the last term, so the probabilities after any
+h sum to 1.  After an unknown h the probability is that after h without its
+first word.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hasharrays as ha
 from . import textarrays as ta
-from .shared import new_folder, small_batches, written
+from .shared import new_folder, small_batches
 
 END = np.uint64(0x5D1E4F3A9B27C680)
-_LOW = np.uint64(0xFFFFFFFF)
-_SHIFT = np.uint64(32)
+#: N-grams of a bucket whose shorter ones are looked up at once.
+_AT_ONCE = 1 << 18
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -51,34 +57,96 @@ def discounts(n: list[int]) -> np.ndarray:
     return out
 
 
+@dataclass
+class Level:
+    """N-grams of one length: numbers, contexts and discounts."""
+
+    base: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # first number of each bucket's n-grams
+    top: np.ndarray = field(default_factory=lambda: np.zeros((0, 5), np.int64))  # contexts dealt over all buckets, by number: number, total, of counts 1, 2, more
+    distinct: int = 0
+    discount: np.ndarray = field(default_factory=lambda: discounts([0] * 4))
+
+
 @dataclass
 class Model:
     """Where the arrays are, and the few numbers that aren't in them."""
 
     folder: str
     bits: int
+    order: int = 2
     words: int = 0
     tokens: int = 0
-    base: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # first number of each bucket's words
-    top: np.ndarray = field(default_factory=lambda: np.zeros((0, 5), np.int64))  # contexts dealt over all buckets: number, total, of counts 1, 2, more
-    pairs: int = 0
-    discount: np.ndarray = field(default_factory=lambda: discounts([0] * 4))
-    lower_discount: np.ndarray = field(default_factory=lambda: discounts([0] * 4))
     freed: float = 1.0
+    levels: dict[int, Level] = field(default_factory=dict)  # by length
 
     def word_bucket(self, hashes: np.ndarray) -> np.ndarray:
         return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def pair_bucket(self, pairs: np.ndarray) -> np.ndarray:
-        """By context, so that a context's statistics are made in one place; pairs of top contexts by pair."""
-        context = pairs >> _SHIFT
-        return self.word_bucket(ta.mix(np.where(np.isin(context, self.top[:, 0].astype(np.uint64)), pairs, context)))
+    @property
+    def shift(self) -> np.uint64:
+        return np.uint64(self.words.bit_length())
+
+    def keys(self, k: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Of n-grams of length ``k``, given by numbers of their first k - 1 words and of the last."""
+        if self.levels[k - 1].distinct.bit_length() + int(self.shift) > 64:
+            raise OverflowError(f"{self.levels[k - 1].distinct} contexts and {self.words} words don't fit 64-bit keys")
+        return context.astype(np.uint64) << self.shift | word.astype(np.uint64)
+
+    def apart(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Context and last word of keys."""
+        return (keys >> self.shift).astype(np.int64), (keys & ((np.uint64(1) << self.shift) - np.uint64(1))).astype(np.int64)
+
+    def bucket(self, k: int, keys: np.ndarray) -> np.ndarray:
+        """By context, so that a context's statistics are made in one place; n-grams of top contexts by key."""
+        context = keys >> self.shift
+        return self.word_bucket(ta.mix(np.where(np.isin(context, self.levels[k].top[:, 0].astype(np.uint64)), keys, context)))
+
+    def holder(self, k: int, numbers: np.ndarray) -> np.ndarray:
+        """The bucket of each n-gram, by its number."""
+        return np.searchsorted(self.levels[k].base, numbers.astype(np.int64), "right") - 1
 
     def numbers(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number (-1 if unknown) and count of each word."""
         bucket = self.word_bucket(hashes)
         place, count = ha.lookup(self.folder, "w", bucket, hashes, ("counts",))
-        return np.where(place >= 0, place + self.base[bucket], -1), count
+        return np.where(place >= 0, place + self.levels[1].base[bucket], -1), count
+
+    def found(self, k: int, context: np.ndarray, word: np.ndarray, *fields: str) -> list[np.ndarray]:
+        """Number (-1 if unknown, as where the context or word is) of each n-gram of length ``k``, and ``fields`` of its array."""
+        out = [np.full(len(word), -1, np.int64), *(np.zeros(len(word), np.int64) for _ in fields)]
+        rows = np.flatnonzero((context >= 0) & (word >= 0))
+        if len(rows):
+            keys, inverse = np.unique(self.keys(k, context[rows], word[rows]), return_inverse=True)
+            bucket = self.bucket(k, keys)
+            place, *values = ha.lookup(self.folder, f"g{k}-", bucket, keys, fields)
+            if k < self.order:
+                place = np.where(place >= 0, place + self.levels[k].base[bucket], -1)
+            for o, x in zip(out, (place, *values), strict=True):
+                o[rows] = x.astype(np.int64)[inverse]
+        return out
+
+    def values(self, k: int, prefix: str, field: str, numbers: np.ndarray) -> np.ndarray:
+        """``field`` of the n-grams of these numbers, from the arrays of ``prefix``."""
+        out = np.zeros(len(numbers), np.uint64)
+        if not len(numbers):
+            return out
+        bucket = self.holder(k, numbers)
+        order = np.argsort(bucket, kind="stable")
+        names, starts = np.unique(bucket[order], return_index=True)
+        for b, rows in zip(names.tolist(), np.split(order, starts[1:]), strict=True):
+            out[rows] = ha.get(self.folder, f"{prefix}{b:06d}")[field][numbers[rows] - self.levels[k].base[b]]
+        return out
+
+    def without_first(self, k: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The number of the last k - 1 words of each n-gram of length ``k``; all of them were counted."""
+        if k == 2:
+            return word
+        unique, inverse = np.unique(context, return_inverse=True)
+        shorter = np.full(len(unique), self.levels[k - 2].distinct, np.int64)  # starts alone stay so
+        rest = unique < self.levels[k - 1].distinct
+        if rest.any():
+            shorter[rest] = self.without_first(k - 1, *self.apart(self.values(k - 1, f"g{k - 1}-", "keys", unique[rest])))
+        return self.found(k - 1, shorter[inverse], word)[0]
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,10 +164,11 @@ def _numbered(model: Model, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return number[inverse], count[inverse]
 
 
-def _contexts(model: Model, numbers: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def _contexts(model: Model, k: int, numbers: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """What stands before each token, as numbers of n-grams of length ``k``, from those that end with each token."""
     before = np.empty_like(numbers)
     before[1:] = numbers[:-1]
-    before[bounds[:-1]] = model.words  # the start's number
+    before[bounds[:-1]] = model.levels[k].distinct  # the number of starts alone
     return before
 
 
@@ -107,13 +176,21 @@ def _texts(frame: DataFrame, text: str) -> DataFrame:
     return frame.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
 
-def train(documents: DataFrame, text: str = "text") -> Model:
-    """Count ``documents`` into arrays in the shared folder."""
+def train(documents: DataFrame, text: str = "text", order: int = 2) -> Model:
+    """Count ``documents`` into arrays in the shared folder; contexts have ``order`` - 1 words."""
+    if order < 2:
+        raise ValueError(f"order {order} is below 2")
     spark = documents.sparkSession
     small_batches(spark)
-    model = Model(new_folder(spark, "kneser-ney"), ha.bucket_bits(spark))
+    model = Model(new_folder(spark, "kneser-ney"), ha.bucket_bits(spark), order)
     buckets = 1 << model.bits
     texts = _texts(documents, text)
+    made = "bucket long, n long, total long, place array<long>, count array<long>"
+
+    def described(bucket: int, counts: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        """Size and total of a bucket, and the most frequent of its ``ids``."""
+        most = np.argsort(counts)[-16:]
+        return pa.RecordBatch.from_pydict({"bucket": [bucket], "n": [len(counts)], "total": [int(counts.sum())], "place": [ids[most].tolist()], "count": [counts[most].astype(np.int64).tolist()]})
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = ha.Counter(model.word_bucket)
@@ -125,124 +202,164 @@ def train(documents: DataFrame, text: str = "text") -> Model:
     def write_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, keys, counts in ha.by_bucket(batches):
             ha.put(model.folder, f"w{bucket:06d}", {"keys": keys, "counts": ha._narrow(counts)})
-            most = np.argsort(counts)[-16:]
-            yield pa.RecordBatch.from_pydict({"bucket": [bucket], "n": [len(keys)], "total": [int(counts.sum())], "place": [most.tolist()], "count": [counts[most].astype(np.int64).tolist()]})
-
-    made = ha.merged(texts.mapInArrow(count_words, ha.BLOBS)).mapInArrow(write_words, "bucket long, n long, total long, place array<long>, count array<long>").collect()
-    size = np.zeros(buckets, np.int64)
-    for r in made:
-        size[r.bucket] = r.n
-    model.base = np.concatenate([[0], np.cumsum(size)])
-    model.words, model.tokens = int(size.sum()), sum(r.total for r in made)
-    top = [int(model.base[r.bucket] + p) for r in made for p, c in zip(r["place"], r["count"], strict=True) if c * 4 * buckets >= model.tokens]
-    model.top = np.zeros((len(top) + 1, 5), np.int64)
-    model.top[:, 0] = [*top, model.words]
-
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = ha.Counter(model.pair_bucket)
-        for batch in batches:
-            for _, _, data, offsets in ta.parts(batch.column(0)):
-                tokens, bounds = _tokens(data, offsets)
-                numbers, _ = _numbered(model, tokens)
-                yield from counter.add(_contexts(model, numbers, bounds).astype(np.uint64) << _SHIFT | numbers.astype(np.uint64))
+            yield described(bucket, counts, np.arange(len(counts)))
+
+    def count_grams(k: int) -> DataFrame:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            counter = ha.Counter(lambda keys: model.bucket(k, keys))
+            for batch in batches:
+                for _, _, data, offsets in ta.parts(batch.column(0)):
+                    tokens, bounds = _tokens(data, offsets)
+                    words, _ = _numbered(model, tokens)
+                    numbers = words
+                    for j in range(2, k):
+                        numbers = model.found(j, _contexts(model, j - 1, numbers, bounds), words)[0]
+                    yield from counter.add(model.keys(k, _contexts(model, k - 1, numbers, bounds), words))
+            yield from counter.flush()
+
+        return ha.merged(texts.mapInArrow(work, ha.BLOBS))
+
+    def write_grams(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for bucket, keys, counts in ha.by_bucket(batches):
+                ha.put(model.folder, f"g{k}-{bucket:06d}", {"keys": keys})
+                yield described(bucket, counts, np.arange(len(counts)))
+
+        return work
+
+    def number(k: int, rows: list) -> None:
+        """Numbers of a level's n-grams, and which of them are frequent enough as contexts of the next to be dealt over all buckets."""
+        size = np.zeros(buckets, np.int64)
+        for r in rows:
+            size[r.bucket] = r.n
+        level = model.levels.setdefault(k, Level())
+        level.base, level.distinct, total = np.concatenate([[0], np.cumsum(size)]), int(size.sum()), sum(r.total for r in rows)
+        if k == 1:
+            model.words, model.tokens = level.distinct, total
+        top = [int(level.base[r.bucket] + p) for r in rows for p, c in zip(r["place"], r["count"], strict=True) if c * 4 * buckets >= total]
+        following = model.levels.setdefault(k + 1, Level())
+        following.top = np.zeros((len(top) + 1, 5), np.int64)
+        following.top[:, 0] = sorted([*top, level.distinct])
+
+    number(1, ha.merged(texts.mapInArrow(count_words, ha.BLOBS)).mapInArrow(write_words, made).collect())
+    for k in range(2, order):
+        number(k, count_grams(k).mapInArrow(write_grams(k), made).collect())
+
+    def summed_up(k: int, bucket: int, keys: np.ndarray, counts: np.ndarray) -> None:
+        """A bucket's contexts, its counts of counts, and its share of the contexts that lie in all buckets."""
+        context, _ = model.apart(keys)
+        first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+        sums = [np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts > 2)]
+        who = context[first]
+        wide = np.isin(who, model.levels[k].top[:, 0])
+        ha.put(model.folder, f"c{k}-{bucket:06d}", {"keys": who[~wide].astype(np.uint64)} | {f: ha._narrow(s[~wide]) for f, s in zip(("total", "one", "two", "more"), sums, strict=True)})
+        ha.put(model.folder, f"s{k}-{bucket:06d}", {"sizes": np.array([len(keys), *((counts == n).sum() for n in (1, 2, 3, 4))], np.int64), "wide": np.stack([who[wide], *(s[wide] for s in sums)], 1).ravel()})
+
+    def slices(keys: np.ndarray) -> Iterator[np.ndarray]:
+        return (keys[k : k + _AT_ONCE] for k in range(0, len(keys), _AT_ONCE))
+
+    def write_highest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = ha.Counter(lambda numbers: model.holder(order - 1, numbers))
+        for bucket, keys, counts in ha.by_bucket(batches):
+            ha.put(model.folder, f"g{order}-{bucket:06d}", {"keys": keys, "counts": ha._narrow(counts)})
+            summed_up(order, bucket, keys, counts)
+            for some in slices(keys):
+                yield from counter.add(model.without_first(order, *model.apart(some)).astype(np.uint64))
         yield from counter.flush()
 
-    def by_word(numbers: np.ndarray) -> np.ndarray:
-        return np.searchsorted(model.base, numbers.astype(np.int64), "right") - 1
-
-    def write_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = ha.Counter(by_word)
-
-        def rows(kind: int, numbers: list[list[int]]) -> pa.RecordBatch:
-            n = len(numbers)
-            return pa.RecordBatch.from_arrays([pa.array([kind] * n, pa.int32()), pa.array([-1] * n, pa.int32()), pa.array([None] * n, pa.binary()), pa.array(numbers, pa.list_(pa.int64()))], names=["kind", "bucket", "blob", "numbers"])
-
-        def blobs(some: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in some:
-                n = len(b)
-                yield pa.RecordBatch.from_arrays([pa.array([2] * n, pa.int32()), b.column("bucket"), b.column("blob"), pa.array([[]] * n, pa.list_(pa.int64()))], names=["kind", "bucket", "blob", "numbers"])
-
-        for bucket, keys, counts in ha.by_bucket(batches):
-            context = keys >> _SHIFT
-            first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-            sums = [np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts > 2)]
-            who = context[first]
-            wide = np.isin(who, model.top[:, 0].astype(np.uint64))
-            ha.put(model.folder, f"p{bucket:06d}", {"keys": keys, "counts": ha._narrow(counts)})
-            ha.put(model.folder, f"c{bucket:06d}", {"keys": who[~wide]} | {f: ha._narrow(s[~wide]) for f, s in zip(("total", "one", "two", "more"), sums, strict=True)})
-            yield rows(0, [[len(keys), *((counts == k).sum() for k in (1, 2, 3, 4))]])
-            if wide.any():
-                yield rows(1, np.stack([who[wide].astype(np.int64), *(s[wide] for s in sums)], 1).tolist())
-            yield from blobs(counter.add(keys & _LOW))
-        yield from blobs(counter.flush())
-
-    # a table, as three things are made of it
-    pairs = written(ha.merged(texts.mapInArrow(count_pairs, ha.BLOBS)).mapInArrow(write_pairs, "kind int, bucket int, blob binary, numbers array<long>"), "pairs")
-
-    def sums_of(kind: int, n: int, *by: Column) -> list:
-        return pairs.filter(F.col("kind") == kind).groupBy(*by).agg(*(F.sum(F.get("numbers", F.lit(k))).alias(f"s{k}") for k in range(n))).collect()
-
-    stats = [int(x or 0) for x in sums_of(0, 5)[0]]
-    model.pairs, model.discount = stats[0], discounts(stats[1:])
-    at = {int(x): k for k, x in enumerate(model.top[:, 0].tolist())}
-    for r in sums_of(1, 5, F.get("numbers", F.lit(0)).alias("context")):
-        model.top[at[r.context], 1:] = [r.s1, r.s2, r.s3, r.s4]
-
-    def write_continuations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, keys, counts in ha.by_bucket(batches):
-            dense = np.zeros(int(model.base[bucket + 1] - model.base[bucket]), np.uint64)
-            dense[keys.astype(np.int64) - model.base[bucket]] = counts
-            ha.put(model.folder, f"n{bucket:06d}", {"counts": ha._narrow(dense)})
+    def continued(k: int, bucket: int, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """How many tokens stand before each n-gram of the bucket."""
+        base = model.levels[k].base
+        dense = np.zeros(int(base[bucket + 1] - base[bucket]), np.uint64)
+        dense[keys.astype(np.int64) - base[bucket]] = counts
+        ha.put(model.folder, f"n{k}-{bucket:06d}", {"counts": ha._narrow(dense)})
+        return dense
+
+    def write_between(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            counter = ha.Counter(lambda numbers: model.holder(k - 1, numbers))
+            for bucket, numbers, counts in ha.by_bucket(batches):
+                keys = ha.get(model.folder, f"g{k}-{bucket:06d}")["keys"]
+                summed_up(k, bucket, keys, continued(k, bucket, numbers, counts))
+                for some in slices(keys):
+                    yield from counter.add(model.without_first(k, *model.apart(some)).astype(np.uint64))
+            yield from counter.flush()
+
+        return work
+
+    def write_lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, numbers, counts in ha.by_bucket(batches):
+            dense = continued(1, bucket, numbers, counts)
             yield pa.RecordBatch.from_pydict({f"n{k}": [int((dense == k).sum() if k < 5 else (dense > 2).sum())] for k in range(1, 6)})
 
-    blobs = pairs.filter("kind = 2").select("bucket", "blob")
-    cont = ha.merged(blobs).mapInArrow(write_continuations, "n1 long, n2 long, n3 long, n4 long, n5 long").collect()
-    n = [sum(r[k] for r in cont) for k in range(5)]
-    model.lower_discount = discounts(n[:4])
-    if model.pairs:
-        d = model.lower_discount
-        model.freed = float(d[1] * n[0] + d[2] * n[1] + d[3] * n[4]) / model.pairs
+    before = count_grams(order).mapInArrow(write_highest, ha.BLOBS)
+    for k in range(order - 1, 1, -1):
+        before = ha.merged(before).mapInArrow(write_between(k), ha.BLOBS)
+    lowest = ha.merged(before).mapInArrow(write_lowest, "n1 long, n2 long, n3 long, n4 long, n5 long").collect()
+
+    for k in range(2, order + 1):
+        level, sizes = model.levels[k], np.zeros(5, np.int64)
+        for bucket in range(buckets):
+            if (found := ha.get(model.folder, f"s{k}-{bucket:06d}")) is not None:
+                sizes += found["sizes"]
+                wide = found["wide"].reshape(-1, 5)
+                level.top[np.searchsorted(level.top[:, 0], wide[:, 0]), 1:] += wide[:, 1:]
+        level.distinct, level.discount = int(sizes[0]), discounts(sizes[1:].tolist())
+    n = [sum(r[k] for r in lowest) for k in range(5)]
+    d = model.levels[1].discount = discounts(n[:4])
+    if model.levels[2].distinct:
+        model.freed = float(d[1] * n[0] + d[2] * n[1] + d[3] * n[4]) / model.levels[2].distinct
     return model
 
 
-def _probabilities(model: Model, numbers: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """Of each token after the one before it; -1 is unknown."""
+def _lowest(model: Model, numbers: np.ndarray) -> np.ndarray:
+    """Of each token, whatever stands before it; -1 is unknown."""
     words, inverse = np.unique(numbers, return_inverse=True)
     known = words >= 0
-    lower = np.full(len(words), model.freed / (model.words + 1))
+    out = np.full(len(words), model.freed / (model.words + 1))
     if known.any():
-        bucket = np.searchsorted(model.base, words[known], "right") - 1
-        n = np.empty(len(bucket), np.int64)
-        for b in np.unique(bucket).tolist():
-            rows = bucket == b
-            n[rows] = ha.get(model.folder, f"n{b:06d}")["counts"][words[known][rows] - model.base[b]]
-        lower[known] += (n - model.lower_discount[np.minimum(n, 3)]) / model.pairs
-    lower = lower[inverse]
+        n = model.values(1, "n1-", "counts", words[known]).astype(np.int64)
+        out[known] += (n - model.levels[1].discount[np.minimum(n, 3)]) / model.levels[2].distinct
+    return out[inverse]
+
 
+def _context_sums(model: Model, k: int, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Total of each context's counts, and the share that discounts set free."""
+    level = model.levels[k]
     contexts, inverse = np.unique(before, return_inverse=True)
-    total, one, two, more = (np.zeros(len(contexts), np.int64) for _ in range(4))
-    place = np.searchsorted(order := np.sort(model.top[:, 0]), contexts)
-    top = order[np.minimum(place, len(order) - 1)] == contexts if len(order) else np.zeros(len(contexts), bool)
-    by_number = model.top[np.argsort(model.top[:, 0])]
-    for k, column in enumerate((total, one, two, more), 1):
-        column[top] = by_number[place[top], k]
+    sums = [np.zeros(len(contexts), np.int64) for _ in range(4)]
+    place = np.minimum(np.searchsorted(level.top[:, 0], contexts), len(level.top) - 1)
+    top = level.top[place, 0] == contexts
     rest = np.flatnonzero(~top & (contexts >= 0))
+    for n, column in enumerate(sums, 1):
+        column[top] = level.top[place[top], n]
     if len(rest):
         keys = contexts[rest].astype(np.uint64)
-        _, *found = ha.lookup(model.folder, "c", model.word_bucket(ta.mix(keys)), keys, ("total", "one", "two", "more"))
-        for column, x in zip((total, one, two, more), found, strict=True):
+        _, *found = ha.lookup(model.folder, f"c{k}-", model.word_bucket(ta.mix(keys)), keys, ("total", "one", "two", "more"))
+        for column, x in zip(sums, found, strict=True):
             column[rest] = x
-    d = model.discount
-    free = np.where(total > 0, (d[1] * one + d[2] * two + d[3] * more) / np.maximum(total, 1), 1.0)[inverse]
-    total = total[inverse]
-
-    both = np.flatnonzero((total > 0) & (numbers >= 0))
-    out = free * lower
-    if len(both):
-        pairs, inverse = np.unique(before[both].astype(np.uint64) << _SHIFT | numbers[both].astype(np.uint64), return_inverse=True)
-        _, count = ha.lookup(model.folder, "p", model.pair_bucket(pairs), pairs, ("counts",))
-        c = count.astype(np.int64)[inverse]
-        out[both] += (c - d[np.minimum(c, 3)]) / total[both]
+    total, one, two, more = sums
+    d = level.discount
+    return total[inverse], np.where(total > 0, (d[1] * one + d[2] * two + d[3] * more) / np.maximum(total, 1), 1.0)[inverse]
+
+
+def _probabilities(model: Model, words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Of each token after those before it in its text; -1 is unknown."""
+    out, numbers = _lowest(model, words), words
+    for k in range(2, model.order + 1):
+        before = _contexts(model, k - 1, numbers, bounds)
+        total, free = _context_sums(model, k, before)
+        out *= free
+        if k < model.order:
+            numbers, count = model.found(k, before, words)[0], np.zeros(len(words), np.int64)
+            known = np.flatnonzero(numbers >= 0)
+            unique, inverse = np.unique(numbers[known], return_inverse=True)
+            count[known] = model.values(k, f"n{k}-", "counts", unique).astype(np.int64)[inverse]
+        else:
+            _, count = model.found(k, before, words, "counts")
+        seen = np.flatnonzero(total > 0)
+        c = count[seen]
+        out[seen] += (c - model.levels[k].discount[np.minimum(c, 3)]) / total[seen]
     return out
 
 
@@ -261,7 +378,7 @@ def score(documents: DataFrame, model: Model, id: str = "doc_id", text: str = "t
                 tokens, bounds = _tokens(data, offsets)
                 numbers, count = _numbered(m, tokens)
                 size = np.diff(bounds)
-                p = _probabilities(m, numbers, _contexts(m, numbers, bounds))
+                p = _probabilities(m, numbers, bounds)
                 base = np.log10((count.astype(np.float64) + 1) / (m.tokens + m.words + 1))
                 first = bounds[:-1]
                 total = np.add.reduceat(np.log10(p), first)

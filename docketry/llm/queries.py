@@ -35,7 +35,7 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(fold("doc_id", 7) == 2, F.lit(False))
-    scored = kneserney.score(documents, kneserney.train(documents.filter(~held_out)))
+    scored = kneserney.score(documents, kneserney.train(documents.filter(~held_out), order=3))
     return scored.withColumn("held_out", held_out)
 
 
