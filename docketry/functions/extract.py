@@ -22,10 +22,13 @@ REPORTERS = {
     "scc_parenthetical": r"(?i)\((\d{4})\)\s*(\d{1,2})\s*SCC\s+(\d+)",
     "scc_standard": r"(?i)\b(\d{4})\s+SCC\s+(\d{1,2})\s+(\d+)\b",
     "scc_online": r"(?i)\b(\d{4})\s+SCC\s+OnLine\s+SC\s+(\d+)\b",
+    "scc_online_hc": r"(?i)\b(\d{4})\s+SCC\s+OnLine\s+([A-Z][a-z]{2,4})\s+(\d+)\b",
     "scr_standard": r"(?i)\bSCR\s*\((\d{1,2})\)\s*(\d{4})\s+(\d+)\b",
     "scr_bracket": r"(?i)\[(\d{4})\]\s*(\d{1,2})\s*SCR\s+(\d+)\b",
     "manu": r"(?i)\bMANU/([A-Z]{2,4})/(\d{4})/(\d+)\b",
     "neutral_sc": r"(?i)\b(\d{4})\s+INSC\s+(\d+)\b",
+    "neutral_hc_colon": r"(?i)\b(\d{4}):([A-Z]{2,4}(?:-[A-Z]{2,4})?):(\d+)(?:-DB)?\b",
+    "neutral_hc_slash": r"(?i)\b(\d{4})/([A-Z]{2,4})/(\d+)\b",
     "scale": r"(?i)\((\d{4})\)\s*(\d{1,2})\s*SCALE\s+(\d+)",
     "jt": r"(?i)\bJT\s+(\d{4})\s*\((\d{1,2})\)\s*SC\s+(\d+)\b",
     "bom_lr": r"(?i)\b(\d{4})\s*\((\d{1,2})\)\s*Bom\s*LR\s+(\d+)\b",
@@ -37,7 +40,10 @@ REPORTERS = {
     "alj": r"(?i)\b(\d{4})\s+ALJ\s+(\d+)\b",
     "plr": r"(?i)\bPLR\s+(\d{4})\s+(\d+)\b",
     "cwn": r"(?i)\b(\d{4})\s*\((\d{1,2})\)\s*CWN\s+(\d+)\b",
+    "itat": r"(?i)\b(\d{4})\s+ITAT\s+(\d+)\b|\bITA\s*No\.?\s*(\d+)/(\w+)/(\d{4})\b",
+    "nclt": r"(?i)\b(?:NCLT|NCLAT)\s*(?:Order\s*)?(?:dated\s*)?(\d{1,2}[./]\d{1,2}[./]\d{2,4})?\s*(?:in\s*)?(?:CP|CA|TA)?\s*(?:No\.?)?\s*(\d+)",
     "ilr": r"(?i)\bILR\s+(\d{4})\s+([A-Za-z]+)\s+(\d{1,2})\s+(\d+)\b",
+    "cri_lj": r"(?i)\b(\d{4})\s+Cri\s*LJ\s+(\d+)\b|\((\d{4})\)\s*(\d{1,2})\s*Cri\s*LJ\s+(\d+)",
     "comp_cas": r"(?i)\((\d{4})\)\s*(\d{1,3})\s*Comp\s*Cas\s+(\d+)",
     "itr": r"(?i)\((\d{4})\)\s*(\d{1,3})\s*ITR\s+(\d+)",
     "taxman": r"(?i)\((\d{4})\)\s*(\d{1,3})\s*Taxman\s+(\d+)",
