@@ -13,7 +13,10 @@ partner if a partner shares its first or its second half, so only lines whose
 half occurs again emit variants: nothing is lost, and nearly all lines of
 ordinary text emit none.
 
-Lines of fewer than ``min_words`` words stay.  Null texts stay null and have no
+Lines of fewer than ``min_words`` words have no near duplicates, as one edit
+changes most of such a line.  With ``short_too`` the exact copies of those that
+aren't blank go as well, among them lines of scripts without spaces; without
+it, as in the SQL below, they stay.  Null texts stay null and have no
 lines.  Rows with the same doc_id and text count as one document: what one
 loses the other loses.  Null doc_ids sort first.
 """
@@ -80,7 +83,7 @@ def _half_keys(words: Column, n: Column) -> Column:
     return F.concat(keys(n), keys(n - 1))
 
 
-def dedup_lines(documents: DataFrame, min_words: int = 4) -> DataFrame:
+def dedup_lines(documents: DataFrame, min_words: int = 4, short_too: bool = False) -> DataFrame:
     """``documents`` without the lines that an earlier line duplicates.
 
     ``text`` has what stays, joined by newlines; ``n_lines`` and ``n_dropped``
@@ -90,14 +93,15 @@ def dedup_lines(documents: DataFrame, min_words: int = 4) -> DataFrame:
     columns = documents.columns
     keyed = documents.withColumn("_hash", F.xxhash64("text"))
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("no"), words_of(x).alias("words")))
-    long_enough = F.filter(lines, lambda x: F.size(x["words"]) >= min_words)
+    long_enough = F.filter(lines, lambda x: F.size(x["words"]) >= (1 if short_too else min_words))
+    halves = lambda words: F.when(F.size(words) >= min_words, _half_keys(words, F.size(words))).otherwise(F.array().cast("array<bigint>"))
     compact = F.transform(
         long_enough,
         lambda x: F.struct(
             x["no"].alias("no"),
             F.xxhash64(x["words"]).alias("k1"),
             F.xxhash64(F.lit(1), x["words"]).alias("k2"),
-            _half_keys(x["words"], F.size(x["words"])).alias("halves"),
+            (halves(x["words"]) if short_too else _half_keys(x["words"], F.size(x["words"]))).alias("halves"),
         ),
     )
     occurrences = written(keyed.filter(F.col("text").isNotNull()).select("doc_id", "_hash", F.explode(compact).alias("l")).select("doc_id", "_hash", "l.*"), "lines")
