@@ -451,6 +451,76 @@ def act_provisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.provisions(acts).select("type", "number", F.col("char_start").cast("int"), F.col("char_end").cast("int"), "chapter", "part")
 
 
+# the operators whose pinned cases stand above as literals, over whole tables
+
+
+@query()
+def document_section_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = table(spark, sf_dir, "documents").select("doc_id", classify.section_type(F.col("text")).alias("section_type"))
+    kind = F.col("section_type")
+    return typed.withColumns({"priority": classify.section_priority(kind), "important": classify.is_important(kind)})
+
+
+@query()
+def document_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(extract.citations(F.col("text"))).alias("c")).select("doc_id", "c.*")
+
+
+@query()
+def document_citation_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.col("raw")
+    return document_citations(spark, sf_dir).select("doc_id", "raw", extract.alias_key(raw).alias("alias_key"), extract.graph_key(raw).alias("graph_key"), extract.citation_type(raw).alias("type"))
+
+
+@query()
+def document_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "documents").select("doc_id", judgments.metadata(F.col("text")).alias("m"))
+    return found.select("doc_id", "m.decision_date", "m.case_type", "m.case_number", "m.jurisdiction", "m.bench_type", "m.disposal_status")
+
+
+@query()
+def document_provisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.provisions(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
+@query()
+def document_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", extract.parties(F.col("text")).alias("p")).select("doc_id", F.md5("p.petitioner").alias("petitioner_md5"), F.md5("p.respondent").alias("respondent_md5"))
+
+
+@query()
+def document_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.facet(table(spark, sf_dir, "documents").select(judgments.disposition(F.col("text")).alias("disposition")), "disposition")
+
+
+@query()
+def document_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("jurisdiction"), F.col("lang").alias("category"), F.col("source").alias("state"), F.lit("in_force").alias("act_status"))
+    return schemas.taxonomy(docs).select("doc_id", "jurisdiction", "state", "instrument_type", "in_force")
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS iso FROM orders")
+def order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select("o_orderkey", extract.parse_date(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("iso"))
+
+
+@query("SELECT o_orderkey, year(o_orderdate) || '-' || right((year(o_orderdate) + 1)::VARCHAR, 2) AS year FROM orders")
+def order_assessment_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    year = F.year("o_orderdate")
+    return table(spark, sf_dir, "orders").select("o_orderkey", extract.assessment_year(F.concat_ws("-", year, year + 1)).alias("year"))
+
+
+@query("SELECT c_custkey, c_name AS party, '' AS city FROM customer")
+def customer_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select("c_custkey", extract.party_and_city(F.col("c_name")).alias("p")).select("c_custkey", "p.*")
+
+
+@query("SELECT c_custkey, NULL::VARCHAR AS court, NULL::VARCHAR AS slug FROM customer")
+def customer_court_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = table(spark, sf_dir, "customer").select("c_custkey", judgments.court_name(F.col("c_name")).alias("court"))
+    return named.withColumn("slug", judgments.court_slug(F.col("court")))
+
+
 _TOKENS = f"list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'), lambda t: NOT list_contains([{', '.join(repr(w) for w in retrieval.STOPWORDS)}], t) AND length(t) <= 40)"
 _BM25 = f"""d AS (SELECT doc_id, {_TOKENS} AS t FROM documents), tf AS (SELECT doc_id, len(t) AS len, unnest(t) AS token FROM d),
 c AS (SELECT doc_id, token, len, count(*) AS tf FROM tf GROUP BY ALL), q AS (SELECT item_id, unnest(list_distinct({_TOKENS})) AS token FROM benchmark),
