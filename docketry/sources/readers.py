@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import io
 import json
 import tarfile
 from collections.abc import Iterator
+from typing import IO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, StringType
 
 BAD = "_bad"
+#: Lines and bytes of a batch that a task reads from an archive.
+BATCH_LINES, BATCH_BYTES = 4096, 4 << 20
 
 
 def json_lines(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
@@ -24,21 +26,55 @@ def json_lines(spark: SparkSession, path: str, schema: StructType) -> tuple[Data
     return rows.filter(F.col(f"r.{BAD}").isNull()).select("r.*").drop(BAD), rows.filter(F.col(f"r.{BAD}").isNotNull()).select(F.col("value").alias(BAD))
 
 
+def _batches(archive_name: str, stream: IO[bytes]) -> Iterator[pa.RecordBatch]:
+    """Lines of an archive's members as they are read, so many at once that a batch stays small; a longer line is a batch of its own."""
+    names = ["archive", "member", "line_no", "line"]
+    with tarfile.open(fileobj=stream, mode="r|*") as archive:
+        for member in archive:
+            if not member.isfile():
+                continue
+            lines, first, held = [], 0, 0
+
+            def batch(member: str, first: int, lines: list[str]) -> pa.RecordBatch:
+                n = len(lines)
+                return pa.RecordBatch.from_arrays([pa.array([archive_name] * n), pa.array([member] * n), pa.array(range(first, first + n), pa.int64()), pa.array(lines, pa.string())], names=names)
+
+            for raw in archive.extractfile(member):
+                if lines and (len(lines) == BATCH_LINES or held + len(raw) > BATCH_BYTES):
+                    yield batch(member.name, first, lines)
+                    lines, first, held = [], first + len(lines), 0
+                lines.append(raw.decode("utf-8", "replace").rstrip("\n"))
+                held += len(raw)
+            if lines:
+                yield batch(member.name, first, lines)
+
+
 def tar_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of the members of tar archives: archive, member, line_no, line.  An archive is one task, as gzip can't be split; it is streamed."""
+    """Lines of the members of tar archives: archive, member, line_no, line.
+
+    An archive on a mounted file system is streamed in one task, as gzip can't
+    be split, and its lines are dealt out at once.  From any other store, which
+    Spark alone may be able to read, Spark hands it over whole, of 2 GB at most.
+    """
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                with open("/" + name.removeprefix("file:").lstrip("/"), "rb") as stream:
+                    yield from _batches(name, stream)
+
+    def members_of_contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                with tarfile.open(fileobj=io.BytesIO(content.as_buffer()), mode="r|*") as archive:
-                    for member in archive:
-                        if member.isfile():
-                            lines = [x.decode("utf-8", "replace").rstrip("\n") for x in archive.extractfile(member)]
-                            n = len(lines)
-                            yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array([member.name] * n), pa.array(range(n), pa.int64()), pa.array(lines, pa.string())], names=["archive", "member", "line_no", "line"])
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(members, "archive string, member string, line_no long, line string")
+                yield from _batches(name, pa.BufferReader(content.as_buffer()))
+
+    schema = "archive string, member string, line_no long, line string"
+    files = spark.read.format("binaryFile").load(path)
+    if files.select("path").filter(~F.col("path").startswith("file:")).isEmpty():
+        lines = files.select("path").mapInArrow(members, schema)
+    else:
+        lines = files.select("path", "content").mapInArrow(members_of_contents, schema)
+    return lines.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def with_base_and_language(lines: DataFrame, pattern: str = r"(\d{4}_INSC_\d+)(?:_([A-Z]{2,4}))?\.chunks\.jsonl$") -> DataFrame:
