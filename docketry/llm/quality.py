@@ -2,10 +2,10 @@
 
 Input channels of a byte are the byte itself and its echoes: whether the byte
 ``lag`` places before is the same.  Narrow learned filters slide over every
-position; wide learned filters slide over overlapping chunks of 64 bytes in
-steps of 32 and see the share of echoes at each lag.  Both are max-pooled over
-the whole document, whatever its length, and a logistic layer combines the
-pooled values into one probability.
+position; over overlapping chunks of 64 bytes in steps of 32 the share of echoes
+at each lag from 2 to 24 is taken, which is fixed and not learned.  Both are
+max-pooled over the whole document, whatever its length, and a logistic layer
+combines the pooled values into one probability.
 
 Null and empty texts have a defined score: that of an all-padding input.
 """
