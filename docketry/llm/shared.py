@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset, as in tests."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one where that is unset and all of Spark is one process, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="docketry-")
         spark.conf.set("spark.checkpoint.dir", base)
     if not spark.sparkContext.getCheckpointDir():
@@ -35,6 +37,33 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def fresh(frame: DataFrame, *names: str) -> list[str]:
+    """``names``, with underscores added to those that are columns of ``frame``."""
+    taken, out = {c.lower() for c in frame.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+#: A key is hot if it has more than one row in so many.
+HOT = 1000
+
+
+def join_counted(rows: DataFrame, counted: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """``rows`` joined with ``counted``, one row per key and ``c``, how many of the rows have it.
+
+    Fewer than ``HOT`` keys can have more than one row in ``HOT`` of ``total``: these are broadcast, so that
+    rows of a hot key stay where they are.  All other keys are joined by a shuffle.
+    """
+    is_hot = F.col("c") * HOT > F.lit(max(total, HOT))
+    hot = counted.filter(is_hot)
+    here = rows.join(F.broadcast(hot), keys)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(counted.filter(~is_hot), keys)
+    return here.unionByName(rest)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges`` (src, dst): one row (id, component) per vertex.
 

@@ -160,7 +160,7 @@ def brute_lines(rows):
 
     kept = collections.defaultdict(list)
     for n, (i, _, _, w, x) in enumerate(lines):
-        if len(w) < 4 or not any(len(v) >= 4 and near(v, w) for *_, v, _ in lines[:n]):
+        if not w or not any(v == w or (len(w) >= 4 and len(v) >= 4 and near(v, w)) for *_, v, _ in lines[:n]):
             kept[i].append(x)
     return {i: None if t is None else "\n".join(kept[i]) for i, t in rows}
 
