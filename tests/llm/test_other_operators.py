@@ -51,12 +51,47 @@ def test_nra_bounds_are_safe_for_any_numbers():
     for scale in (3, 1000, 10**8):
         rows, queries = rng.integers(-scale, scale, (500, 6)), rng.integers(-scale, scale, (9, 6))
         ids = rng.permutation(500)
-        for q, (best, scores) in zip(queries, topk.nra(queries, np.full(9, -1), rows, ids, 5), strict=True):
+        for q, (best, scores) in zip(queries, topk.Lists(rows, ids).top(queries, np.full(9, -1), 5)[0], strict=True):
             s = rows @ q
             want = np.lexsort((ids, -s))[:5]
             assert best.tolist() == want.tolist() and scores.tolist() == s[want].tolist()
 
 
+def test_nra_over_blocks_reads_less_than_half_of_clustered_rows(spark):
+    from docketry.llm import topk
+
+    rng = np.random.default_rng(8)
+    centres = sample(40, seed=9)
+    v = (centres[np.arange(4000) % 40] + rng.normal(scale=0.02, size=(4000, 64))).astype(np.float32)
+    rows = vectors(spark, [(k, v[k].tolist(), 0) for k in range(len(v))])
+    is_query = topk.F.col("vec_id") % 20 == 0
+    read = topk.visits(rows, is_query, 20, rows=100).agg({"read": "sum"}).first()[0]
+    share = read / (200 * 4000 * 64)
+    print(f"share of list entries read: {share:.3f}")
+    assert 0 < share < 0.5
+    whole = np.floor(64 * v.astype(np.float64)).astype(np.int64)
+    found = {}
+    for r in topk.search(rows, is_query, 20, rows=100).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    for q, got in found.items():
+        s = whole @ whole[q]
+        order = [k for k in np.lexsort((np.arange(4000), -s)) if k != q][:20]
+        assert sorted(got) == [(n + 1, k, s[k]) for n, k in enumerate(order)]
+    assert len(found) == 200
+
+
+def test_topk_holds_large_numbers_exactly_or_raises(spark):
+    from docketry.llm import topk
+
+    large = float(1 << 22)  # 64 times this, squared, is beyond 2**53
+    rows = [(0, [large, 1.0], 0), (1, [large, -1.0], 0), (2, [large - 1, 1.0], 0), (3, [-large, 0.0], 0)]
+    got = topk.search(vectors(spark, rows), topk.F.col("vec_id") == 0, 3).collect()
+    x = int(64 * large)
+    assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(1, x * x - 4096), (2, x * (x - 64) + 4096), (3, -x * x)]
+    with pytest.raises(OverflowError):
+        topk.search(vectors(spark, [(0, [1e20], 0), (1, [-1e20], 0)]), topk.F.col("vec_id") == 0)
+
+
 def test_lattice_points_are_nearest():
     from docketry.llm import lattice
 
