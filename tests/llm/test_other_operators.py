@@ -131,6 +131,33 @@ def test_lattice_dedup_against_brute_force(spark):
     assert lattice.dedup(vectors(spark, []), 0.93).count() == 0
 
 
+@pytest.mark.parametrize("cosine", [0.93, 0.95])
+def test_lattice_recall_over_large_planted_groups(spark, cosine, monkeypatch):
+    from docketry.llm import lattice
+
+    monkeypatch.setattr(lattice, "STORED", 64)  # groups of several blocks
+    rng = np.random.default_rng(int(cosine * 100))
+    rows = sample(3000, seed=11)
+    # around each of 6 centres 300 vectors whose cosines with each other lie around the one asked for
+    spread = np.sqrt((1 - cosine) / cosine)
+    noise = rng.normal(size=(6, 300, 64))
+    noise *= spread / np.linalg.norm(noise, axis=2, keepdims=True)
+    groups = (sample(6, seed=12)[:, None, :] + noise).reshape(-1, 64).astype(np.float32)
+    every = np.concatenate([rows, groups])
+    got = {r.vec_id: r for r in lattice.dedup(vectors(spark, [(k, v.tolist(), int(k % 2 if k < 3000 else 0)) for k, v in enumerate(every)]), 0.93).collect()}
+    label = np.array([k % 2 if k < 3000 else 0 for k in range(len(every))])
+    unit = every.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    linked = (unit @ unit.T >= 0.93) & (label[:, None] == label[None, :])
+    np.fill_diagonal(linked, False)
+    true = linked.sum(1)
+    found = np.array([got[k].n_links for k in range(len(every))])
+    assert (found <= true).all() and true.sum() > 100_000
+    recall = found.sum() / true.sum()
+    print(f"recall at cosines around {cosine}: {recall:.4f} of {true.sum() // 2} links")
+    assert recall >= 0.9
+
+
 def calls(*items, content=None):
     return json.dumps({"content": content, "tool_calls": [{"id": i, "name": n, "arguments": a, "depends_on": d} for i, n, a, d in items]})
 
