@@ -1,13 +1,16 @@
 """Quality classifier: a byte-level convolutional network in numpy.
 
-Input channels of a byte are the byte itself and its echoes: whether the byte
-``lag`` places before is the same.  Narrow learned filters slide over every
-position; over overlapping chunks of 64 bytes in steps of 32 the share of echoes
-at each lag from 2 to 24 is taken, which is fixed and not learned.  Both are
-max-pooled over the whole document, whatever its length, and a logistic layer
-combines the pooled values into one probability.
-
-Null and empty texts have a defined score: that of an all-padding input.
+Narrow learned filters of five bytes slide over every position.  Their rectified
+responses are max-pooled over the whole document.  Wide learned filters look at
+overlapping chunks of 128 bytes in steps of 64, the last of them up to the text's end:
+each weighs the narrow filters' mean responses within the chunk, is
+rectified, and is max-pooled over all chunks too.  So a wide filter is a convolution over
+132 bytes, whose kernel is put together from the narrow ones; it sees what
+a chunk is made of, such as a few words over and over.  A logistic layer combines
+all pooled values into one probability.  All weights are learned together.
+
+Null and empty texts have a defined score: that of a single zero byte.  Repeated
+rows score alike, but for rounding.  Labels other than 0 and 1, and null ids or labels, teach nothing.
 """
 
 from __future__ import annotations
@@ -21,154 +24,183 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textarrays as ta
-from .labelled import fold, labelled_sample
-from .shared import small_batches
+from .labelled import fold, labelled_rows
+from .shared import small_batches, tidy
 
 WIDTH = 5
-FILTERS = 8
-LAGS = np.arange(2, 25)
-STEP = 32
-SLICE = 1 << 20
+NARROW, WIDE = 8, 24
+CHUNK, STEP = 128, 64
+#: Bytes of a text that are looked at together; a multiple of STEP.
+SLICE = 1 << 17
 
 
 @dataclass
 class Network:
-    """Filters (WIDTH, 256, FILTERS), their biases, and the combining layer."""
+    """Narrow filters (WIDTH, 256, NARROW), wide filters (NARROW, WIDE), biases, and the combining layer."""
 
     filters: np.ndarray
     bias: np.ndarray
+    wide: np.ndarray
+    wide_bias: np.ndarray
     combine: np.ndarray
-    offset: float
+    offset: np.ndarray
 
+    @classmethod
+    def fresh(cls, rng: np.random.Generator) -> Network:
+        def normal(scale: float, *shape: int) -> np.ndarray:
+            return rng.normal(0, scale, shape).astype(np.float32)
 
-def _padded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One buffer with WIDTH zero bytes after each text; starts and lengths (at least 1)."""
-    lengths = np.array([max(1, len(t)) for t in texts], np.int64)
-    starts = np.concatenate([[0], np.cumsum(lengths + WIDTH)])[:-1].astype(np.int64)
-    buffer = np.frombuffer(b"".join(t.ljust(1, b"\0") + b"\0" * WIDTH for t in texts), np.uint8)
-    return buffer, starts, lengths
+        return cls(normal(0.3, WIDTH, 256, NARROW), normal(0.1, NARROW), normal(1.0, NARROW, WIDE), normal(0.1, WIDE), normal(0.1, NARROW + WIDE), np.zeros(1, np.float32))
 
 
-def _responses(net: Network, buffer: np.ndarray) -> np.ndarray:
-    """Narrow filters at every position: (positions, FILTERS)."""
-    n = len(buffer) - WIDTH + 1
-    out = np.take(net.filters[0], buffer[:n], axis=0)
+@dataclass
+class Views:
+    """Where pieces of texts lie in one buffer, each in blocks of STEP bytes of its own: starts, lengths, blocks and chunks."""
+
+    buffer: np.ndarray
+    starts: np.ndarray
+    lengths: np.ndarray
+    first: np.ndarray  # block of each piece, and one past the last
+    chunk: np.ndarray  # first block of each chunk
+    first_chunk: np.ndarray
+    ends: np.ndarray  # of chunks
+
+    @classmethod
+    def of(cls, pieces: list[tuple[bytes, bytes]]) -> Views:
+        """Of pieces, each with the bytes that follow it in its text."""
+        pieces = [(p or b"\0", after[: WIDTH - 1].ljust(WIDTH - 1, b"\0")) for p, after in pieces]
+        lengths = np.array([len(p) for p, _ in pieces], np.int64)
+        blocks = -(-(lengths + WIDTH - 1) // STEP)
+        first = np.concatenate([[0], np.cumsum(blocks)]).astype(np.int64)
+        buffer = np.frombuffer(b"".join((p + after).ljust(n * STEP, b"\0") for (p, after), n in zip(pieces, blocks.tolist(), strict=True)) + b"\0" * (WIDTH - 1), np.uint8)
+        starts = first[:-1] * STEP
+        # chunks of two blocks; the last one reaches to the text's end
+        count = np.maximum(1, -(-lengths // STEP) - 1)
+        first_chunk = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
+        of = np.repeat(np.arange(len(pieces)), count)
+        chunk = first[of] + np.arange(first_chunk[-1]) - first_chunk[of]
+        return cls(buffer.astype(np.intp), starts, lengths, first, chunk, first_chunk, np.minimum(chunk * STEP + CHUNK, (starts + lengths)[of]))
+
+
+def _responses(net: Network, v: Views) -> np.ndarray:
+    """Narrow filters at every position of a text, rectified, and zero beyond its end: (positions, NARROW)."""
+    n = len(v.buffer) - WIDTH + 1
+    out = np.take(net.filters[0], v.buffer[:n], axis=0, mode="clip")
     for j in range(1, WIDTH):
-        out += np.take(net.filters[j], buffer[j : j + n], axis=0)
+        out += np.take(net.filters[j], v.buffer[j : j + n], axis=0, mode="clip")
+    out += net.bias
+    np.maximum(out, 0, out=out)
+    beyond = v.first[1:] * STEP - v.starts - v.lengths
+    out[np.repeat(v.starts + v.lengths - np.cumsum(beyond) + beyond, beyond) + np.arange(int(beyond.sum()))] = 0
     return out
 
 
-def _echoes(buffer: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Per text the largest share of echoes at each lag in any chunk: (texts, lags)."""
-    blocks = -(-lengths // STEP)
-    first = np.concatenate([[0], np.cumsum(blocks)])[:-1]
-    begins = np.repeat(starts - first * STEP, blocks) + np.arange(int(blocks.sum())) * STEP
-    text_of = np.repeat(np.arange(len(starts)), blocks)
-    out = np.empty((len(starts), len(LAGS)), np.float32)
-    same = np.zeros(len(buffer), np.uint8)
-    at_start = starts[text_of]
-    for k, lag in enumerate(LAGS.tolist()):
-        same[:lag] = 0
-        same[lag:] = buffer[lag:] == buffer[: max(0, len(buffer) - lag)]
-        total = np.zeros(len(buffer) + 1, np.int32)
-        np.cumsum(same, out=total[1:])
-        ends = np.minimum(begins + 2 * STEP, (starts + lengths)[text_of])
-        # echoes that reach back before the text's first byte don't count
-        opens = np.minimum(np.maximum(begins, at_start + lag), ends)
-        share = (total[ends] - total[opens]).astype(np.float32) / (2 * STEP)
-        out[:, k] = np.maximum.reduceat(share, first)
-    return out
+def _chunk_means(r: np.ndarray, v: Views) -> np.ndarray:
+    sums = r.reshape(-1, STEP, NARROW).sum(1)
+    both = sums[v.chunk] + np.where((v.chunk * STEP + STEP < v.ends)[:, None], sums[np.minimum(v.chunk + 1, len(sums) - 1)], 0)
+    return both / (v.ends - v.chunk * STEP)[:, None].astype(np.float32)
 
 
-def _pooled(net: Network, texts: list[bytes]) -> np.ndarray:
-    """The pooled values of each text: (texts, FILTERS + lags)."""
-    buffer, starts, lengths = _padded(texts)
-    r = _responses(net, buffer)
-    bounds = np.stack([starts, starts + lengths], 1).ravel()
-    if bounds[-1] >= len(r):
-        r = np.concatenate([r, np.zeros((int(bounds[-1]) - len(r) + 1, FILTERS), np.float32)])
-    narrow = np.maximum.reduceat(r, bounds, axis=0)[::2]
-    return np.concatenate([np.maximum(narrow + net.bias, 0), _echoes(buffer, starts, lengths)], 1)
+def _pooled(net: Network, pieces: list[tuple[bytes, bytes]]) -> np.ndarray:
+    """The pooled values of each piece: (pieces, NARROW + WIDE)."""
+    v = Views.of(pieces)
+    r = _responses(net, v)
+    narrow = np.maximum.reduceat(r.reshape(-1, STEP, NARROW).max(1), v.first[:-1], axis=0)
+    wide = np.maximum(_chunk_means(r, v) @ net.wide + net.wide_bias, 0)
+    return np.concatenate([narrow, np.maximum.reduceat(wide, v.first_chunk[:-1], axis=0)], 1)
 
 
 def pooled(net: Network, texts: list[bytes]) -> np.ndarray:
-    """As the network sees texts of any length: long ones in overlapping slices, max-pooled again."""
-    out = np.empty((len(texts), FILTERS + len(LAGS)), np.float32)
-    batch: list[int] = []
-    size = 0
-    overlap = 2 * STEP
+    """Of texts of any length: long ones in slices that overlap by a chunk's half, max-pooled again."""
+    out = np.zeros((len(texts), NARROW + WIDE), np.float32)
+    pieces, owner, size = [], [], 0
 
     def flush() -> None:
-        if batch:
-            out[batch] = _pooled(net, [texts[i] for i in batch])
-            batch.clear()
+        if pieces:
+            np.maximum.at(out, np.array(owner), _pooled(net, pieces))
+            pieces.clear()
+            owner.clear()
 
     for i, t in enumerate(texts):
-        if len(t) > SLICE:
-            pieces = [t[k : k + SLICE + overlap] for k in range(0, len(t), SLICE)]
-            out[i] = np.max([_pooled(net, [p])[0] for p in pieces], axis=0)
-            continue
-        if size + len(t) > SLICE:
-            flush()
-            size = 0
-        batch.append(i)
-        size += len(t)
+        for k in range(0, max(1, len(t) - STEP), SLICE):
+            end = k + SLICE + STEP
+            pieces.append((t[k:end], t[end : end + WIDTH]))
+            owner.append(i)
+            size += len(pieces[-1][0])
+            if size >= SLICE:
+                flush()
+                size = 0
     flush()
     return out
 
 
 def probabilities(net: Network, texts: list[bytes]) -> np.ndarray:
-    z = pooled(net, texts) @ net.combine + net.offset
-    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    z = pooled(net, texts) @ net.combine + net.offset[0]
+    return 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -30, 30)))
+
+
+def _gradients(net: Network, texts: list[bytes], labels: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the weighted log loss; they flow through each pool's winning position or chunk."""
+    v = Views.of([(t, b"") for t in texts])
+    r = _responses(net, v)
+    top = np.stack([s + r[s : s + n].argmax(0) for s, n in zip(v.starts.tolist(), v.lengths.tolist(), strict=True)])
+    means = _chunk_means(r, v)
+    raw = means @ net.wide + net.wide_bias
+    best = np.stack([a + raw[a:b].argmax(0) for a, b in zip(v.first_chunk.tolist(), v.first_chunk[1:].tolist(), strict=False)])
+    narrow, wide = np.take_along_axis(r, top, 0), np.maximum(np.take_along_axis(raw, best, 0), 0)
+    x = np.concatenate([narrow, wide], 1)
+    p = 1 / (1 + np.exp(-np.clip(x @ net.combine + net.offset[0], -30, 30)))
+    g = ((p - labels) * weight / len(labels)).astype(np.float32)
+    gx = g[:, None] * net.combine
+    gw = gx[:, NARROW:] * (wide > 0)
+    chunks, place = np.unique(best, return_inverse=True)
+    place = place.reshape(best.shape)
+    gm = np.zeros((len(chunks), NARROW), np.float32)  # of the winning chunks' means
+    grad_wide = np.zeros_like(net.wide)
+    for u in range(WIDE):
+        np.add.at(gm, place[:, u], gw[:, u, None] * net.wide[:, u])
+        grad_wide[:, u] = means[best[:, u]].T @ gw[:, u]
+    sizes = v.ends[chunks] - v.chunk[chunks] * STEP
+    of = np.repeat(np.arange(len(chunks)), sizes)
+    at = v.chunk[chunks][of] * STEP + np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    at = np.concatenate([at, top.ravel()])
+    gr = np.concatenate([gm[of] / sizes[of][:, None], np.zeros((top.size, NARROW), np.float32)])
+    gr[len(of) + np.arange(top.size), np.tile(np.arange(NARROW), len(texts))] = gx[:, :NARROW].ravel()
+    gr *= r[at] > 0
+    filters = np.empty_like(net.filters)
+    columns = np.arange(NARROW)
+    for j in range(WIDTH):
+        slot = v.buffer[at + j][:, None] * NARROW + columns
+        filters[j] = np.bincount(slot.ravel(), weights=gr.ravel(), minlength=256 * NARROW).reshape(256, NARROW)
+    return {"filters": filters, "bias": gr.sum(0), "wide": grad_wide + 1e-4 * net.wide, "wide_bias": gw.sum(0), "combine": x.T @ g + 1e-4 * net.combine, "offset": np.array([g.sum()], np.float32)}
 
 
 def train(texts: list[str], labels: np.ndarray, epochs: int = 12, seed: int = 7) -> Network:
-    """Fit by Adam on the weighted log loss; gradients flow through each pool's winning position.
+    """Fit by Adam on the log loss, both classes weighing the same.
 
     With no rows, or rows of one class only, the network answers a constant.
     """
     rng = np.random.default_rng(seed)
-    net = Network(
-        rng.normal(0, 0.3, (WIDTH, 256, FILTERS)).astype(np.float32),
-        np.zeros(FILTERS, np.float32),
-        rng.normal(0, 0.1, FILTERS + len(LAGS)).astype(np.float32),
-        0.0,
-    )
+    net = Network.fresh(rng)
     raw = [(t or "").encode() for t in texts]
     if not raw or labels.min() == labels.max():
         net.combine[:] = 0
-        net.offset = 4.0 * (2 * float(labels[0]) - 1) if raw else 0.0
+        net.offset[0] = 4.0 * (2 * float(labels[0]) - 1) if raw else 0.0
         return net
     weight = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum())) * len(labels)
-    echo = np.concatenate([_echoes(*_padded([t])) for t in raw])
-    params = {"filters": net.filters, "bias": net.bias, "combine": net.combine, "offset": np.zeros(1, np.float32)}
-    moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in params.items()}
+    moment = {k: [np.zeros_like(getattr(net, k)), np.zeros_like(getattr(net, k))] for k in vars(net)}
     step = 0
     for epoch in range(epochs):
-        rate = 0.03 if epoch < epochs * 2 // 3 else 0.005
+        rate = 0.02 if epoch < epochs * 2 // 3 else 0.004
         for rows in np.array_split(rng.permutation(len(raw)), max(1, len(raw) // 64)):
-            grads = {k: np.zeros_like(v) for k, v in params.items()}
-            buffer, starts, lengths = _padded([raw[i] for i in rows])
-            r = _responses(net, buffer)
-            top = np.stack([s + r[s : s + n].argmax(0) for s, n in zip(starts.tolist(), lengths.tolist(), strict=True)])
-            narrow = np.take_along_axis(r, top, 0) + net.bias
-            x = np.concatenate([np.maximum(narrow, 0), echo[rows]], 1)
-            p = 1 / (1 + np.exp(-np.clip(x @ net.combine + params["offset"][0], -30, 30)))
-            g = ((p - labels[rows]) * weight[rows] / len(rows)).astype(np.float32)
-            grads["combine"] = x.T @ g + 1e-4 * net.combine
-            grads["offset"][0] = g.sum()
-            gn = g[:, None] * net.combine[:FILTERS] * (narrow > 0)
-            grads["bias"] = gn.sum(0)
-            f = np.broadcast_to(np.arange(FILTERS), top.shape)
-            for j in range(WIDTH):
-                np.add.at(grads["filters"][j], (buffer[top + j], f), gn)
+            grads = _gradients(net, [raw[i] for i in rows], labels[rows], weight[rows])
             step += 1
-            for k, v in params.items():
+            for k, g in grads.items():
                 m, s = moment[k]
-                m += 0.1 * (grads[k] - m)
-                s += 0.001 * (grads[k] ** 2 - s)
-                v -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)
-    net.offset = float(params["offset"][0])
+                m += 0.1 * (g - m)
+                s += 0.001 * (g**2 - s)
+                value = getattr(net, k)
+                value -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
     return net
 
 
@@ -178,6 +210,7 @@ def score(documents: DataFrame, net: Network, text: str = "text", into: str = "s
     shared = documents.sparkSession.sparkContext.broadcast(net)  # a fixed 50 KB
 
     @F.arrow_udf("double")
+    @tidy
     def probability(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             found = [np.zeros(0)]
@@ -190,21 +223,13 @@ def score(documents: DataFrame, net: Network, text: str = "text", into: str = "s
     return documents.withColumn(into, probability(F.col(text).cast("string")))
 
 
-def classify(
-    documents: DataFrame,
-    labels: DataFrame,
-    rows_per_class: int = 1500,
-    max_bytes: int = 16_384,
-    threshold: float = 0.3,
-    modulus: int = 5,
-    held_out: int = 0,
-) -> DataFrame:
-    """Fit on a bounded sample of labelled training rows, score every whole text.
+def classify(documents: DataFrame, labels: DataFrame, rows_per_class: int = 1500, threshold: float = 0.3, modulus: int = 5, held_out: int = 0) -> DataFrame:
+    """Fit on the whole texts of at most ``rows_per_class`` labelled training rows of each class, score every whole text.
 
-    Returns the documents with ``held_out``, ``score`` and ``predicted``.
+    Returns the documents with ``held_out``, ``score`` and ``predicted``, each replaced if there already.
     """
-    texts, y = labelled_sample(documents, labels, "quality", modulus, held_out, rows_per_class, max_bytes, 4)
-    scored = score(documents, train(texts, y))
+    sample = labelled_rows(documents, labels, "quality", modulus, held_out, rows_per_class, 4).orderBy("doc_id").toArrow()
+    scored = score(documents, train(sample.column("text").to_pylist(), np.array(sample.column("label").to_pylist(), np.int64)))
     return scored.withColumns(
         {"held_out": F.coalesce(fold("doc_id", modulus) == held_out, F.lit(False)), "predicted": (F.col("score") >= threshold).cast("int")}
     )
