@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textarrays as ta
-from .shared import small_batches, tidy
+from .shared import fresh, small_batches, tidy
 
 LONG = 32_768
 #: Words of more characters than this, when cut, are joined by windows of tokens.
@@ -311,16 +311,17 @@ def encode(documents: DataFrame, vocabulary: str, text: str = "text", into: str
         return pa.table({"_key": pa.array([rows[0]["_key"]]), "_long_ids": pa.array([ids], pa.binary())})
 
     small_batches(documents.sparkSession)
+    key, found = fresh(documents, "_key", "_long_ids")
     documents = documents.withColumn(text, F.col(text).cast("string"))
     is_long = F.coalesce(F.char_length(text) > long, F.lit(False))
     short = documents.filter(~is_long).withColumn(into, encoded(F.col(text)))
-    tall = documents.filter(is_long).withColumn("_key", F.sha2(F.col(text), 256))
+    tall = documents.filter(is_long).withColumn(key, F.sha2(F.col(text), 256))
     # equal long texts are encoded once; a group holds the pieces of one text
-    once = tall.groupBy("_key").agg(F.first(text).alias("_text"))
+    once = tall.groupBy(F.col(key).alias("_key")).agg(F.first(text).alias("_text"))
     dealt = once.mapInArrow(tidy(pieces), "_key string, _no int, _part int, _piece string, _special int").repartition("_key", "_no")
     done = dealt.mapInArrow(tidy(piece_ids), "_key string, _no int, _part int, _piece string, _special int, _counts binary, _ids binary")
-    joined_ids = done.groupBy("_key").applyInArrow(joined, "_key string, _long_ids binary")
-    tall = tall.join(joined_ids, "_key", "left").withColumn(into, F.coalesce("_long_ids", F.lit(b""))).drop("_key", "_long_ids")
+    joined_ids = done.groupBy("_key").applyInArrow(joined, "_key string, _long_ids binary").toDF(key, found)
+    tall = tall.join(joined_ids, key, "left").withColumn(into, F.coalesce(found, F.lit(b""))).drop(key, found)
     return short.unionByName(tall)
 
 

@@ -18,6 +18,7 @@ from urllib.parse import urlparse
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Keys that a task holds before it packs them.
 PENDING = 3 << 20
@@ -86,9 +87,16 @@ class Counter:
                 )
 
 
-def merged(blobs: DataFrame) -> DataFrame:
-    """Blobs dealt out so that a task has all of a bucket, bucket after bucket."""
-    return blobs.repartition("bucket").sortWithinPartitions("bucket")
+def merged(blobs: DataFrame, buckets: int) -> DataFrame:
+    """Blobs dealt out so that a task has all of a bucket, bucket after bucket; each of ``buckets`` has one, if an empty one."""
+    nothing = np.zeros(0, np.uint64)
+    empty = blobs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("long").alias("size"), F.lit(pack(nothing, nothing)).alias("blob"))
+    return blobs.unionByName(empty).repartition("bucket").sortWithinPartitions("bucket")
+
+
+def run_starts(sorted_keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    return np.flatnonzero(np.concatenate([np.ones(min(1, len(sorted_keys)), bool), sorted_keys[1:] != sorted_keys[:-1]]))
 
 
 def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -100,8 +108,8 @@ def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarr
         keys, counts = np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
         order = np.argsort(keys, kind="stable")
         keys, counts = keys[order], counts[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        return now, keys[first], np.add.reduceat(counts, first)
+        first = run_starts(keys)
+        return now, keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
     for batch in batches:
         for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist(), strict=True):
@@ -140,8 +148,8 @@ def put(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
     os.replace(temporary, f"{path}/{name}")
 
 
-def get(folder: str, name: str) -> dict[str, np.ndarray] | None:
-    """Arrays of a file, mapped into memory where the shared folder is mounted, or else read; None if it isn't there.
+def get(folder: str, name: str) -> dict[str, np.ndarray]:
+    """Arrays of a file, mapped into memory where the shared folder is mounted, or else read; a file that isn't there is an error.
 
     A worker keeps the files of one folder: with the next folder those of the last are let go.
     """
@@ -149,22 +157,19 @@ def get(folder: str, name: str) -> dict[str, np.ndarray] | None:
 
 
 @lru_cache(1)
-def _files_of(folder: str) -> Callable[[str], dict[str, np.ndarray] | None]:
+def _files_of(folder: str) -> Callable[[str], dict[str, np.ndarray]]:
     return lru_cache(8192)(partial(_read, folder))
 
 
-def _read(folder: str, name: str) -> dict[str, np.ndarray] | None:
+def _read(folder: str, name: str) -> dict[str, np.ndarray]:
     path = local_path(folder)
-    try:
-        if path is not None:
-            raw = np.memmap(f"{path}/{name}", np.uint8, "r")
-        else:
-            import pyarrow.fs as fs
-
-            store, at = fs.FileSystem.from_uri(folder)
-            raw = np.frombuffer(store.open_input_file(f"{at}/{name}").read(), np.uint8)
-    except FileNotFoundError:
-        return None
+    if path is not None:
+        raw = np.memmap(f"{path}/{name}", np.uint8, "r")
+    else:
+        import pyarrow.fs as fs
+
+        store, at = fs.FileSystem.from_uri(folder)
+        raw = np.frombuffer(store.open_input_file(f"{at}/{name}").read(), np.uint8)
     out, at = {}, 256
     for item in bytes(raw[:256]).decode().strip().split(";"):
         key, kind, n = item.split(",")
@@ -181,9 +186,10 @@ def lookup(folder: str, prefix: str, buckets: np.ndarray, keys: np.ndarray, fiel
     order = np.lexsort((keys, buckets))
     names, starts = np.unique(buckets[order], return_index=True)
     for name, rows in zip(names.tolist(), np.split(order, starts[1:]), strict=True):
-        if (arrays := get(folder, f"{prefix}{name:06d}")) is None or not len(arrays[key]):
-            continue
+        arrays = get(folder, f"{prefix}{name:06d}")
         there = arrays[key]
+        if not len(there):
+            continue
         at = np.minimum(np.searchsorted(there, keys[rows].astype(there.dtype)), len(there) - 1)
         hit = there[at] == keys[rows].astype(there.dtype)
         rows, at = rows[hit], at[hit]

@@ -62,7 +62,7 @@ def _signatures(texts: DataFrame, kind: str, width: int, percent: int) -> DataFr
             ha.put(folder, f"s{bucket:06d}", {"keys": keys[twice], "counts": ha._narrow(counts[twice])})
             yield pa.RecordBatch.from_pydict({"n": [int(twice.sum())]})
 
-    ha.merged(texts.select("text").mapInArrow(tidy(count), ha.BLOBS)).mapInArrow(tidy(write), "n long").agg(F.sum("n")).collect()
+    ha.merged(texts.select("text").mapInArrow(tidy(count), ha.BLOBS), 1 << bits).mapInArrow(tidy(write), "n long").agg(F.sum("n")).collect()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -42,6 +42,7 @@ from .shared import new_folder, small_batches
 END = np.uint64(0x5D1E4F3A9B27C680)
 #: N-grams of a bucket whose shorter ones are looked up at once.
 _AT_ONCE = 1 << 18
+_MADE = pa.schema([("bucket", pa.int64()), ("n", pa.int64()), ("total", pa.int64()), ("place", pa.list_(pa.int64())), ("count", pa.list_(pa.int64()))])
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -190,7 +191,7 @@ def train(documents: DataFrame, text: str = "text", order: int = 2) -> Model:
     def described(bucket: int, counts: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
         """Size and total of a bucket, and the most frequent of its ``ids``."""
         most = np.argsort(counts)[-16:]
-        return pa.RecordBatch.from_pydict({"bucket": [bucket], "n": [len(counts)], "total": [int(counts.sum())], "place": [ids[most].tolist()], "count": [counts[most].astype(np.int64).tolist()]})
+        return pa.RecordBatch.from_pydict({"bucket": [bucket], "n": [len(counts)], "total": [int(counts.sum())], "place": [ids[most].tolist()], "count": [counts[most].astype(np.int64).tolist()]}, _MADE)
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = ha.Counter(model.word_bucket)
@@ -217,7 +218,7 @@ def train(documents: DataFrame, text: str = "text", order: int = 2) -> Model:
                     yield from counter.add(model.keys(k, _contexts(model, k - 1, numbers, bounds), words))
             yield from counter.flush()
 
-        return ha.merged(texts.mapInArrow(work, ha.BLOBS))
+        return ha.merged(texts.mapInArrow(work, ha.BLOBS), buckets)
 
     def write_grams(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,15 +242,15 @@ def train(documents: DataFrame, text: str = "text", order: int = 2) -> Model:
         following.top = np.zeros((len(top) + 1, 5), np.int64)
         following.top[:, 0] = sorted([*top, level.distinct])
 
-    number(1, ha.merged(texts.mapInArrow(count_words, ha.BLOBS)).mapInArrow(write_words, made).collect())
+    number(1, ha.merged(texts.mapInArrow(count_words, ha.BLOBS), buckets).mapInArrow(write_words, made).collect())
     for k in range(2, order):
         number(k, count_grams(k).mapInArrow(write_grams(k), made).collect())
 
     def summed_up(k: int, bucket: int, keys: np.ndarray, counts: np.ndarray) -> None:
         """A bucket's contexts, its counts of counts, and its share of the contexts that lie in all buckets."""
         context, _ = model.apart(keys)
-        first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-        sums = [np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts > 2)]
+        first = ha.run_starts(context)
+        sums = [np.add.reduceat(x.astype(np.int64), first) if len(first) else np.zeros(0, np.int64) for x in (counts, counts == 1, counts == 2, counts > 2)]
         who = context[first]
         wide = np.isin(who, model.levels[k].top[:, 0])
         ha.put(model.folder, f"c{k}-{bucket:06d}", {"keys": who[~wide].astype(np.uint64)} | {f: ha._narrow(s[~wide]) for f, s in zip(("total", "one", "two", "more"), sums, strict=True)})
@@ -294,16 +295,16 @@ def train(documents: DataFrame, text: str = "text", order: int = 2) -> Model:
 
     before = count_grams(order).mapInArrow(write_highest, ha.BLOBS)
     for k in range(order - 1, 1, -1):
-        before = ha.merged(before).mapInArrow(write_between(k), ha.BLOBS)
-    lowest = ha.merged(before).mapInArrow(write_lowest, "n1 long, n2 long, n3 long, n4 long, n5 long").collect()
+        before = ha.merged(before, buckets).mapInArrow(write_between(k), ha.BLOBS)
+    lowest = ha.merged(before, buckets).mapInArrow(write_lowest, "n1 long, n2 long, n3 long, n4 long, n5 long").collect()
 
     for k in range(2, order + 1):
         level, sizes = model.levels[k], np.zeros(5, np.int64)
         for bucket in range(buckets):
-            if (found := ha.get(model.folder, f"s{k}-{bucket:06d}")) is not None:
-                sizes += found["sizes"]
-                wide = found["wide"].reshape(-1, 5)
-                level.top[np.searchsorted(level.top[:, 0], wide[:, 0]), 1:] += wide[:, 1:]
+            found = ha.get(model.folder, f"s{k}-{bucket:06d}")
+            sizes += found["sizes"]
+            wide = found["wide"].reshape(-1, 5)
+            level.top[np.searchsorted(level.top[:, 0], wide[:, 0]), 1:] += wide[:, 1:]
         level.distinct, level.discount = int(sizes[0]), discounts(sizes[1:].tolist())
     n = [sum(r[k] for r in lowest) for k in range(5)]
     d = model.levels[1].discount = discounts(n[:4])

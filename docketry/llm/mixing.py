@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import fresh, written
 
 NONE = "(none)"
 #: Hex digits of the hash that make a bucket: 4096 buckets a leaf.
@@ -118,11 +118,13 @@ def mix(
     reached = placed.join(sums.withColumn("before", before).drop("in_bucket"), [*tree, "bucket"])
     running = F.col("before") + F.sum("tokens").over(W.partitionBy(*tree, "bucket").orderBy("place"))
     cut = reached.withColumn("running", running).filter(F.col("running") <= F.col("rest")).groupBy(*tree).agg(F.max("place").alias("cut"))
-    cut = written(plan.join(cut, tree, "left").select(*(F.col(c).alias(f"_{c}") for c in tree), "whole", "cut"), "cuts")
+    names = fresh(documents, "_domain", "_lang", "_source", "_whole", "_cut")
+    cut = written(plan.join(cut, tree, "left").select(*tree, "whole", "cut"), "cuts").toDF(*names)
+    of_domain, of_lang, of_source, of_whole, of_cut = (F.col(n) for n in names)
 
-    joined = documents.join(cut, (F.col("domain") == F.col("_domain")) & (lang == F.col("_lang")) & (source == F.col("_source")))
-    epochs = F.col("whole") + F.when(place(F.col("whole")) <= F.col("cut"), 1).otherwise(0)
-    return joined.withColumn("epochs", F.coalesce(epochs, F.lit(0)).cast("int")).filter("epochs > 0").drop("_domain", "_lang", "_source", "whole", "cut")
+    joined = documents.join(cut, (F.col("domain") == of_domain) & (lang == of_lang) & (source == of_source))
+    epochs = of_whole + F.when(place(of_whole) <= of_cut, 1).otherwise(0)
+    return joined.withColumn("epochs", F.coalesce(epochs, F.lit(0)).cast("int")).filter("epochs > 0").drop(*names)
 
 
 #: Production weights.
