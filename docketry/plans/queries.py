@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -321,21 +321,46 @@ def email_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.element_at(r["counts"], "email") > 0, F.lit(False)).alias("has_email"))
 
 
-_SECTIONS = """
-('RATIO DECIDENDI\\nThe court held that'), ('OBITER DICTA\\nBy way of observation'), ('ISSUES\\n1. Whether the contract was valid?'), ('JUDGMENT\\nDelivered by'), ('FACTS\\nThe brief facts'),
-('ARGUMENTS\\nLearned counsel'), ('ANALYSIS\\nWe have considered'), ('CONCLUSION\\nIn the result'), ('1. The appellant filed this case'), ('Some random legal text without section marker'),
-('IN THE SUPREME COURT OF INDIA\\nCivil Appeal'), ('PRECEDENTS CITED\\n1. State'), ('RELIEF SOUGHT\\nThe petitioner'), ('RELEVANT STATUTORY PROVISIONS\\nSection 302'), ('PROCEDURAL HISTORY\\nThe matter')"""
-_SECTION_TYPES = "ratio_decidendi obiter_dicta issues judgment facts arguments analysis conclusion paragraph body header precedents relief statutes procedure".split()
+def pick(number: Column, choices: Sequence[str | None]) -> Column:
+    """The choice of a row, in turn by its number."""
+    return F.get(F.array(*map(F.lit, choices)), F.pmod(number, F.lit(len(choices))).cast("int"))
 
 
-@query(
-    "SELECT * FROM (VALUES "
-    + ", ".join(f"('{t}', {classify.SECTION_PRIORITIES[t]}, {str(classify.SECTION_PRIORITIES[t] >= 70).lower()})" for t in _SECTION_TYPES)
-    + ") t(section_type, priority, important)"
-)
+def sql_pick(number: str, choices: Sequence[object]) -> str:
+    """The same in SQL."""
+    quoted = ("NULL" if c is None else "'" + c.replace("'", "''") + "'" if isinstance(c, str) else str(c) for c in choices)
+    return f"([{', '.join(quoted)}])[({number}) % {len(choices)} + 1]"
+
+
+# headings, and the section types that they begin
+_SECTIONS = {
+    "RATIO DECIDENDI\nThe court held that": "ratio_decidendi",
+    "OBITER DICTA\nBy way of observation": "obiter_dicta",
+    "ISSUES\n1. Whether the contract was valid?": "issues",
+    "JUDGMENT\nDelivered by": "judgment",
+    "FACTS\nThe brief facts": "facts",
+    "ARGUMENTS\nLearned counsel": "arguments",
+    "ANALYSIS\nWe have considered": "analysis",
+    "CONCLUSION\nIn the result": "conclusion",
+    "1. The appellant filed this case": "paragraph",
+    "Some random legal text without section marker": "body",
+    "IN THE SUPREME COURT OF INDIA\nCivil Appeal": "header",
+    "PRECEDENTS CITED\n1. State": "precedents",
+    "RELIEF SOUGHT\nThe petitioner": "relief",
+    "RELEVANT STATUTORY PROVISIONS\nSection 302": "statutes",
+    "PROCEDURAL HISTORY\nThe matter": "procedure",
+}
+_SECTION_TYPES = list(_SECTIONS.values())
+
+
+@query(f"""
+WITH t AS (SELECT p_partkey, {sql_pick("p_partkey", _SECTION_TYPES)} AS section_type, {sql_pick("p_partkey", [classify.SECTION_PRIORITIES[t] for t in _SECTION_TYPES])} AS priority FROM part)
+SELECT p_partkey, section_type, priority, priority >= 70 AS important FROM t""")
 def section_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A part's text opens with a heading and goes on with its name."""
+    texts = table(spark, sf_dir, "part").withColumn("t", F.concat(pick(F.col("p_partkey"), list(_SECTIONS)), F.lit(" "), F.col("p_name")))
     kind = classify.section_type(F.col("t"))
-    return values(spark, _SECTIONS, "t").select(kind.alias("section_type"), classify.section_priority(kind).alias("priority"), classify.is_important(kind).alias("important"))
+    return texts.select("p_partkey", kind.alias("section_type"), classify.section_priority(kind).alias("priority"), classify.is_important(kind).alias("important"))
 
 
 @query("""
@@ -347,45 +372,79 @@ def provision_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT * FROM (VALUES ('06/01/2025', '2025-01-06'), ('16-12-2026', '2026-12-16'), ('19.12.2008', '2008-12-19'), ('2026-12-16T10:00', '2026-12-16'), ('29-Nov-2024', '2024-11-29'), ('10 Feb, 2026', '2026-02-10'),
-('08-06-2024 18:57:35', '2024-06-08'), ('22-02-16', '2016-02-22'), ('06/01/69', '1969-01-06'), ('06/01/2025 14:30', '2025-01-06'), ('45000', '2023-03-15'), ('GUJ/GAAR/R/2025/58/dated 29.11.2025', '2025-11-29'),
-('31/02/2020', NULL), ('soon', NULL), ('', NULL), (NULL, NULL)) t(raw, iso)""")
+WITH t AS (SELECT o_orderkey, o_orderdate AS d, CASE o_orderkey % 7 WHEN 0 THEN strftime(o_orderdate, '%d/%m/%Y') WHEN 1 THEN strftime(o_orderdate, '%d-%m-%Y') WHEN 2 THEN strftime(o_orderdate, '%d.%m.%Y')
+  WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M') WHEN 4 THEN strftime(o_orderdate, '%d-%b-%Y') WHEN 5 THEN strftime(o_orderdate, '%d %b, %Y') ELSE 'soon' END AS raw FROM orders)
+SELECT o_orderkey, raw, CASE WHEN raw <> 'soon' THEN strftime(d, '%Y-%m-%d') END AS iso FROM t""")
 def parsed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = """('06/01/2025'), ('16-12-2026'), ('19.12.2008'), ('2026-12-16T10:00'), ('29-Nov-2024'), ('10 Feb, 2026'), ('08-06-2024 18:57:35'), ('22-02-16'), ('06/01/69'), ('06/01/2025 14:30'), ('45000'),
-    ('GUJ/GAAR/R/2025/58/dated 29.11.2025'), ('31/02/2020'), ('soon'), (''), (NULL)"""
-    return values(spark, raw, "raw").select("raw", extract.parse_date(F.col("raw")).alias("iso"))
+    forms = ["dd/MM/yyyy", "dd-MM-yyyy", "dd.MM.yyyy", "yyyy-MM-dd'T'HH:mm", "dd-MMM-yyyy", "dd MMM, yyyy"]
+    raw = F.lit("soon")
+    for k, form in enumerate(forms):
+        raw = F.when(F.col("o_orderkey") % 7 == k, F.date_format("o_orderdate", form)).otherwise(raw)
+    return table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw")).withColumn("iso", extract.parse_date(F.col("raw")))
 
 
-@query("SELECT * FROM (VALUES ('2018-2019', '2018-19'), ('2018-19', '2018-19'), ('NA', NULL), ('00', NULL), ('', NULL)) t(raw, year)")
+@query("""
+WITH t AS (SELECT o_orderkey, year(o_orderdate) AS y, o_orderkey % 4 AS k FROM orders)
+SELECT o_orderkey, CASE k WHEN 0 THEN y || '-' || (y + 1) WHEN 1 THEN y || '-' || right((y + 1)::VARCHAR, 2) WHEN 2 THEN 'NA' ELSE '' END AS raw,
+  CASE WHEN k < 2 THEN y || '-' || right((y + 1)::VARCHAR, 2) END AS year FROM t""")
 def assessment_years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return values(spark, "('2018-2019'), ('2018-19'), ('NA'), ('00'), ('')", "raw").select("raw", extract.assessment_year(F.col("raw")).alias("year"))
+    y, k = F.year("o_orderdate"), F.col("o_orderkey") % 4
+    raw = F.when(k == 0, F.concat(y, F.lit("-"), y + 1)).when(k == 1, F.concat(y, F.lit("-"), F.right((y + 1).cast("string"), F.lit(2)))).when(k == 2, "NA").otherwise("")
+    return table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw")).withColumn("year", extract.assessment_year(F.col("raw")))
 
 
-@query("""
-SELECT * FROM (VALUES ('ATUL MARDIA,NEW DELHI', 'ATUL MARDIA', 'New Delhi'), ('A, B & CO, Nowhere', 'A, B & CO, Nowhere', ''), ('PLAIN', 'PLAIN', '')) t(raw, party, city)""")
+_CITIES = ["NEW DELHI", "Mumbai", "kochi", "Nowhere", None]
+
+
+@query(f"""
+WITH t AS (SELECT c_custkey, c_name || coalesce(', ' || {sql_pick("c_custkey", _CITIES)}, '') AS raw, c_name, {sql_pick("c_custkey", ["New Delhi", "Mumbai", "Kochi", None, None])} AS known FROM customer)
+SELECT c_custkey, CASE WHEN known IS NULL THEN raw ELSE c_name END AS party, coalesce(known, '') AS city FROM t""")
 def parties_and_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return values(spark, "('ATUL MARDIA,NEW DELHI'), ('A, B & CO, Nowhere'), ('PLAIN')", "raw").select("raw", extract.party_and_city(F.col("raw")).alias("p")).select("raw", "p.*")
+    raw = F.concat("c_name", F.coalesce(F.concat(F.lit(", "), pick(F.col("c_custkey"), _CITIES)), F.lit("")))
+    return table(spark, sf_dir, "customer").select("c_custkey", extract.party_and_city(raw).alias("p")).select("c_custkey", "p.*")
 
 
 @query("""
-SELECT * FROM (VALUES ('A <b>Ltd</b> Versus  State', 'A Ltd', 'State'), ('X v. Y vs. Z', 'X', 'Y vs. Z'), ('In re M', 'In re M', '')) t(title, petitioner, respondent)""")
+SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN c_name || ' Ltd' WHEN 1 THEN c_name ELSE 'In re ' || c_name END AS petitioner,
+  CASE c_custkey % 3 WHEN 0 THEN 'State of ' || c_mktsegment WHEN 1 THEN c_mktsegment || ' vs. Z' ELSE '' END AS respondent FROM customer""")
 def title_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return values(spark, "('A <b>Ltd</b> Versus  State'), ('X v. Y vs. Z'), ('In re M')", "title").select("title", extract.parties(F.col("title")).alias("p")).select("title", "p.*")
+    k = F.col("c_custkey") % 3
+    title = (
+        F.when(k == 0, F.concat("c_name", F.lit(" <b>Ltd</b> Versus  State of "), "c_mktsegment"))
+        .when(k == 1, F.concat("c_name", F.lit(" v. "), "c_mktsegment", F.lit(" vs. Z")))
+        .otherwise(F.concat(F.lit("In re "), "c_name"))
+    )
+    return table(spark, sf_dir, "customer").select("c_custkey", extract.parties(title).alias("p")).select("c_custkey", "p.*")
 
 
-@query("""
-SELECT * FROM (VALUES ('S.C.R. 12 [1990] (2)', 'SCR 12 1990 2', 'SCR 12 [1990] (2)', 'SCR'), ('2020  INSC 5', '2020 INSC 5', '2020 INSC 5', 'NEUTRAL'), ('MANU/TN/1707/2010', 'MANU TN 1707 2010', 'MANU/TN/1707/2010', 'MANU'))
-t(raw, alias_key, graph_key, type)""")
+_ORDER_PAGES = "SELECT o_orderkey, year(o_orderdate) AS y, o_custkey % 9000 + 1000 AS n, o_custkey % 9 + 1 AS v, o_orderkey % 3 AS k FROM orders"
+
+
+def _order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Made-up volumes and pages of orders, as strings."""
+    custkey = F.col("o_custkey")
+    columns = {"y": F.year("o_orderdate"), "n": custkey % 9000 + 1000, "v": custkey % 9 + 1}
+    return table(spark, sf_dir, "orders").select("o_orderkey", *(c.cast("string").alias(k) for k, c in columns.items()), (F.col("o_orderkey") % 3).alias("k"))
+
+
+@query(f"""
+WITH t AS ({_ORDER_PAGES})
+SELECT o_orderkey, CASE k WHEN 0 THEN 'SCR ' || n || ' ' || y || ' ' || v WHEN 1 THEN y || ' INSC ' || n ELSE 'MANU TN ' || n || ' ' || y END AS alias_key,
+  CASE k WHEN 0 THEN 'SCR ' || n || ' [' || y || '] (' || v || ')' WHEN 1 THEN y || ' INSC ' || n ELSE 'MANU/TN/' || n || '/' || y END AS graph_key,
+  CASE k WHEN 0 THEN 'SCR' WHEN 1 THEN 'NEUTRAL' ELSE 'MANU' END AS type FROM t""")
 def citation_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = values(spark, "('S.C.R. 12 [1990] (2)'), ('2020  INSC 5'), ('MANU/TN/1707/2010')", "raw")
-    return raw.select("raw", extract.alias_key(F.col("raw")).alias("alias_key"), extract.graph_key(F.col("raw")).alias("graph_key"), extract.citation_type(F.col("raw")).alias("type"))
+    raw = F.when(F.col("k") == 0, F.format_string("S.C.R. %s [%s] (%s)", "n", "y", "v")).when(F.col("k") == 1, F.format_string("%s  INSC %s", "y", "n")).otherwise(F.format_string("MANU/TN/%s/%s", "n", "y"))
+    cited = _order_pages(spark, sf_dir).withColumn("raw", raw)
+    return cited.select("o_orderkey", extract.alias_key(F.col("raw")).alias("alias_key"), extract.graph_key(F.col("raw")).alias("graph_key"), extract.citation_type(F.col("raw")).alias("type"))
 
 
-@query("""
-SELECT * FROM (VALUES ('air', 'AIR 1973 SC 1461'), ('scc_parenthetical', '(1973) 4 SCC 225'), ('neutral_sc', '2023 INSC 4'), ('manu', 'MANU/TN/1707/2010'), ('scr_bracket', '[1990] 2 SCR 12')) t(reporter, raw)""")
+@query(f"""
+WITH t AS ({_ORDER_PAGES})
+SELECT o_orderkey, unnest(['air', 'scc_parenthetical', 'neutral_sc', 'manu']) AS reporter,
+  unnest(['AIR ' || y || ' SC ' || n, '(' || y || ') ' || v || ' SCC ' || n, y || ' INSC ' || n, 'MANU/TN/' || n || '/' || y]) AS raw FROM t""")
 def extracted_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = values(spark, "('see AIR 1973 SC 1461; (1973) 4 SCC 225, 2023 INSC 4 and MANU/TN/1707/2010'), ('[1990] 2 SCR 12')", "t")
-    return rows.select(F.explode(extract.citations(F.col("t"))).alias("c")).select("c.*")
+    text = F.format_string("see AIR %1$s SC %2$s; (%1$s) %3$s SCC %2$s, %1$s INSC %2$s and MANU/TN/%2$s/%1$s", "y", "n", "v")
+    return _order_pages(spark, sf_dir).select("o_orderkey", F.explode(extract.citations(text)).alias("c")).select("o_orderkey", "c.*")
 
 
 @query("""
@@ -407,32 +466,43 @@ def published_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT * FROM (VALUES ('central', '', 'legislation', TRUE), ('state', 'kerala', 'regulatory', FALSE), ('', '', 'legislation', FALSE)) t(jurisdiction, state, instrument_type, in_force)""")
+SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'central' WHEN 1 THEN 'state' ELSE '' END AS jurisdiction, CASE c_custkey % 3 WHEN 1 THEN 'kerala' ELSE '' END AS state,
+  CASE c_custkey % 3 WHEN 1 THEN 'regulatory' ELSE 'legislation' END AS instrument_type, c_custkey % 3 = 0 AS in_force FROM customer""")
 def repaired_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = values(spark, "('central', 'central', 'central', 'in_force'), ('regulatory', 'regulatory', 'Kerala', 'repealed'), ('state', 'state', '', 'Spent')", "jurisdiction, category, state, act_status")
-    return schemas.taxonomy(rows).select("jurisdiction", "state", "instrument_type", "in_force")
+    k = F.col("c_custkey")
+    raw = {"jurisdiction": ["central", "regulatory", "state"], "category": ["central", "regulatory", "state"], "state": ["central", "Kerala", ""], "act_status": ["in_force", "repealed", "Spent"]}
+    rows = table(spark, sf_dir, "customer").select("c_custkey", *(pick(k, v).alias(name) for name, v in raw.items()))
+    return schemas.taxonomy(rows).select("c_custkey", "jurisdiction", "state", "instrument_type", "in_force")
 
 
 @query("""
-SELECT * FROM (VALUES ('2011-01-01', 'WRIT PETITION', '5 of 2010', 'WRIT', 'DIVISION BENCH', 'ALLOWED'), ('1950-07-05', 'CRIMINAL APPEAL', '12 of 1949', 'CRIMINAL', NULL, 'DISMISSED'), (NULL, NULL, NULL, NULL, NULL, NULL))
-t(decision_date, case_type, case_number, jurisdiction, bench_type, disposal_status)""")
+WITH t AS (SELECT o_orderkey, o_orderkey % 3 AS k, o_orderdate AS d, o_custkey % 900 + 1 AS n FROM orders)
+SELECT o_orderkey, CASE WHEN k < 2 THEN strftime(d, '%Y-%m-%d') END AS decision_date, CASE k WHEN 0 THEN 'WRIT PETITION' WHEN 1 THEN 'CRIMINAL APPEAL' END AS case_type,
+  CASE WHEN k < 2 THEN n || ' of ' || year(d) END AS case_number, CASE k WHEN 0 THEN 'WRIT' WHEN 1 THEN 'CRIMINAL' END AS jurisdiction,
+  CASE k WHEN 0 THEN 'DIVISION BENCH' END AS bench_type, CASE k WHEN 0 THEN 'ALLOWED' WHEN 1 THEN 'DISMISSED' END AS disposal_status FROM t""")
 def judgment_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    heads = r"('WRIT PETITION No. 5 of 2010\nDATE : 1 January 2011\nDivision Bench\nThe petition is allowed.'), ('Criminal Appeal No. 12 of 1949\nDATED : 5/7/50\nThe appeal is dismissed.'), ('nothing')"
-    return values(spark, heads, "t").select(judgments.metadata(F.col("t")).alias("m")).select("m.decision_date", "m.case_type", "m.case_number", "m.jurisdiction", "m.bench_type", "m.disposal_status")
+    """Judgments of orders: two kinds of head, and texts that say nothing."""
+    n, y, k = (F.col("o_custkey") % 900 + 1).cast("string"), F.year("o_orderdate").cast("string"), F.col("o_orderkey") % 3
+    writ = F.concat(F.lit("WRIT PETITION No. "), n, F.lit(" of "), y, F.lit("\nDATE : "), F.date_format("o_orderdate", "d MMMM yyyy"), F.lit("\nDivision Bench\nThe petition is allowed."))
+    appeal = F.concat(F.lit("Criminal Appeal No. "), n, F.lit(" of "), y, F.lit("\nDATED : "), F.date_format("o_orderdate", "d/M/yyyy"), F.lit("\nThe appeal is dismissed."))
+    texts = table(spark, sf_dir, "orders").select("o_orderkey", F.when(k == 0, writ).when(k == 1, appeal).otherwise(F.col("o_orderpriority")).alias("t"))
+    found = texts.select("o_orderkey", judgments.metadata(F.col("t")).alias("m"))
+    return found.select("o_orderkey", "m.decision_date", "m.case_type", "m.case_number", "m.jurisdiction", "m.bench_type", "m.disposal_status")
 
 
 @query("""
-SELECT * FROM (VALUES ('DISPOSED OF', 12::BIGINT), ('DISMISSED', 10::BIGINT)) t(disposition, n)""")
+SELECT CASE WHEN o_orderkey % 7 < 2 THEN 'DISPOSED OF' ELSE 'DISMISSED' END AS disposition, o_orderstatus, count(*) AS n FROM orders WHERE o_orderkey % 7 < 4 GROUP BY ALL HAVING count(*) >= 10""")
 def disposition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = values(spark, "('disposed off', 7), ('DISPOSAL no costs', 5), ('Dismissed', 6), ('DISSMISSED', 4), ('HEARD', 90), ('QUASHED', 9)", "raw, n")
-    return raw.select(judgments.disposition(F.col("raw")).alias("disposition"), "n").filter("disposition is not null").groupBy("disposition").agg(F.sum("n").alias("n")).filter("n >= 10")
+    raw = pick(F.col("o_orderkey"), ["disposed off", "DISPOSAL no costs", "Dismissed", "DISSMISSED", "HEARD", None, "12-3 internal"])
+    kinds = table(spark, sf_dir, "orders").select(judgments.disposition(raw).alias("disposition"), "o_orderstatus")
+    return audit.facet(kinds.filter("disposition is not null"), "disposition", "o_orderstatus").filter("n >= 10")
 
 
 @query("""
-SELECT * FROM (VALUES ('HCMA01', 'Madras High Court', 'madras'), ('HCMD02', 'Madras High Court', 'madras'), ('ODHC03', 'Orissa High Court', 'orissa'), ('ZZZZ04', NULL, NULL)) t(case_id, court, slug)""")
+SELECT c_custkey, CASE c_custkey % 4 WHEN 2 THEN 'Orissa High Court' WHEN 3 THEN NULL ELSE 'Madras High Court' END AS court, CASE c_custkey % 4 WHEN 2 THEN 'orissa' WHEN 3 THEN NULL ELSE 'madras' END AS slug FROM customer""")
 def court_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = values(spark, "('HCMA01'), ('HCMD02'), ('ODHC03'), ('ZZZZ04')", "case_id").withColumn("court", judgments.court_name(F.col("case_id")))
-    return named.withColumn("slug", judgments.court_slug(F.col("court")))
+    case_id = F.concat(pick(F.col("c_custkey"), ["HCMA", "HCMD", "ODHC", "ZZZZ"]), F.col("c_custkey").cast("string"))
+    return table(spark, sf_dir, "customer").select("c_custkey", judgments.court_name(case_id).alias("court")).withColumn("slug", judgments.court_slug(F.col("court")))
 
 
 @query()
@@ -444,11 +514,15 @@ def chunked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT * FROM (VALUES ('preamble', 'An Act to', 0, 24, NULL, NULL), ('part_heading', 'I', 24, 32, NULL, 'I'), ('chapter_heading', 'II', 32, 44, 'II', 'I'), ('section', '1', 44, 59, 'II', 'I'), ('section', '2A', 59, 98, 'II', 'I'), ('schedule', 'FIRST SCHEDULE', 98, 112, 'II', 'I'))
-t(type, number, char_start, char_end, chapter, part)""")
+WITH t AS (SELECT p_partkey, length(p_name) + 20 AS begin_1 FROM part)
+SELECT p_partkey, unnest(['preamble', 'part_heading', 'chapter_heading', 'section', 'section', 'schedule']) AS type, unnest(['An Act to', 'I', 'II', '1', '2A', 'FIRST SCHEDULE']) AS number,
+  unnest([0, begin_1, begin_1 + 8, begin_1 + 20, begin_1 + 35, begin_1 + 74])::INT AS char_start, unnest([begin_1, begin_1 + 8, begin_1 + 20, begin_1 + 35, begin_1 + 74, begin_1 + 88])::INT AS char_end,
+  unnest([NULL, NULL, 'II', 'II', 'II', 'II']) AS chapter, unnest([NULL, 'I', 'I', 'I', 'I', 'I']) AS part FROM t""")
 def act_provisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    acts = values(spark, r"('x', 'An Act to test a thing.\nPART I \nCHAPTER II \n1. Short title\n**2A. Second thing**\n> 1. Subs. by Act\nFIRST SCHEDULE')", "act_id, text")
-    return chunking.provisions(acts).select("type", "number", F.col("char_start").cast("int"), F.col("char_end").cast("int"), "chapter", "part")
+    """Acts of parts, each with the part's name in its long title."""
+    text = F.concat(F.lit("An Act to provide "), "p_name", F.lit(".\nPART I \nCHAPTER II \n1. Short title\n**2A. Second thing**\n> 1. Subs. by Act\nFIRST SCHEDULE"))
+    found = chunking.provisions(table(spark, sf_dir, "part").select("p_partkey", text.alias("text")), "p_partkey")
+    return found.select("p_partkey", "type", "number", F.col("char_start").cast("int"), F.col("char_end").cast("int"), "chapter", "part")
 
 
 # the operators whose pinned cases stand above as literals, over whole tables
