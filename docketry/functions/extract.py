@@ -224,7 +224,33 @@ def effective_dates(text: Column) -> Column:
     return F.array_distinct(F.concat(*(_distinct_matches(text, p) for p in EFFECTIVE_DATES)))
 
 
-def case_id(slug: str, number: Column, *fallback: Column) -> Column:
-    """``SLUG_NUMBER`` of letters and digits, or else twelve digits of a hash of the fallback's JSON."""
+def sorted_json(fields: dict[str, Column]) -> Column:
+    """A JSON object as text: keys in order, a space after colons and commas, characters beyond ASCII escaped, nulls written."""
+
+    def quoted(value: Column) -> Column:
+        plain = F.to_json(F.array(value.cast("string")))
+        inner = F.substring(plain, F.lit(2), F.length(plain) - 2)
+        codes = F.transform(F.filter(F.split(F.coalesce(inner, F.lit("")), ""), lambda c: c != ""), _ascii)
+        return F.when(value.isNull(), "null").otherwise(F.when(inner.rlike(r"[^\x00-\x7f]"), F.array_join(codes, "")).otherwise(inner))
+
+    parts = [F.concat(F.lit(f'"{k}": '), quoted(v)) for k, v in sorted(fields.items())]
+    return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+
+
+def _ascii(c: Column) -> Column:
+    """A character as JSON writes it in ASCII: UTF-16 units of four hexadecimal digits beyond it."""
+    units = F.lower(F.hex(F.encode(c, "UTF-16BE")))
+    escaped = F.concat(F.lit("\\u"), F.substring(units, 1, 4), F.when(F.length(units) > 4, F.concat(F.lit("\\u"), F.substring(units, 5, 4))).otherwise(""))
+    return F.when(c.rlike(r"^[\x00-\x7f]$"), c).otherwise(escaped)
+
+
+def case_id(slug: str, number: Column, fallback: dict[str, Column], with_context: bool = False) -> Column:
+    """``SLUG_NUMBER`` of letters and digits, or else twelve digits of a hash of the fallback's JSON.
+
+    ``with_context`` adds eight digits of that hash to the number too, where numbers recur from bench to bench and year to year.
+    """
     plain = F.regexp_replace(F.upper(nonempty(number)), r"[^A-Za-z0-9]", "")
-    return F.concat(F.lit(f"{slug.upper()}_"), F.coalesce(plain, F.substring(F.md5(F.to_json(F.struct(*fallback))), 1, 12)))
+    digest = F.md5(sorted_json(fallback))
+    if with_context:
+        plain = F.concat(plain, F.lit("_"), F.substring(digest, 1, 8))
+    return F.concat(F.lit(f"{slug.upper()}_"), F.coalesce(plain, F.substring(digest, 1, 12)))

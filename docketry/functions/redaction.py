@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -79,28 +81,77 @@ def _near(pattern: str, words: list[str]) -> str:
     return f"(?={pattern})(?:(?i:{'|'.join(around)}){pattern}|{pattern}(?i:{'|'.join(ahead)}))"
 
 
-def _masked(text: Column, pattern: str, valid=None) -> tuple[Column, Column]:
-    """Text with the pattern's matches masked, and how many were."""
-    if valid is None:
-        return F.regexp_replace(text, pattern, F.lit(MASK.replace("[", "\\["))), F.regexp_count(text, F.lit(pattern))
+def _masked(text: Column, pattern: str, valid: Callable[[Column], Column]) -> tuple[Column, Column]:
+    """Text with the pattern's valid matches masked, and how many were."""
     found, pieces = F.regexp_extract_all(text, F.lit(pattern), 0), F.split(text, pattern, -1)
     masked = F.transform(found, lambda m: F.when(valid(m), MASK).otherwise(m))
     joined = F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(masked, i), F.lit("")))), "")
     return joined, F.size(F.filter(found, valid))
 
 
+#: What each rule but the last looks for, and puts in its place.
+PATTERNS = {
+    "victim_relative_named": (VICTIM_NAMED, "$1" + MASK),
+    "protected_child_named": (CHILD_NAMED, "$1" + MASK),
+    "phone": (PHONE, MASK),
+    "email": (EMAIL, MASK),
+    "pan": (_near(PAN, PAN_CONTEXT), MASK),
+    "ifsc": (_near(IFSC, IFSC_CONTEXT), MASK),
+}
+
+
+#: What a text must have for a rule to be worth its search: words, whatever their case, or a pattern that is found faster.
+WORDS = {"victim_relative_named": ["victim", "prosecutrix"], "protected_child_named": ["juvenile", "ccl", "child in conflict with"], "email": ["@"]}
+PLAIN = {"phone": r"[6-9]\d{9}", "pan": r"[A-Z]{5}[0-9]{4}[A-Z]", "ifsc": r"[A-Z]{4}0[A-Z0-9]{6}", "aadhaar": r"\d{4}\s?\d{4}\s?\d{4}"}
+
+
+def _worth(text: Column, rule: str) -> Column:
+    if rule in PLAIN:
+        return text.rlike(PLAIN[rule])
+    lower, found = F.lower(text), F.lit(False)
+    for word in WORDS[rule]:
+        found = found | F.contains(lower, F.lit(word))
+    return found
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _step(state: Column, done: list[str], rule: str) -> Column:
+    """``state``, a struct of the text and the counts so far, after one more rule; matches are only counted where the text changed."""
+
+    def counted(before: Column, after: Column, count: Column) -> Column:
+        hits = F.when(after.eqNullSafe(before["text"]), 0).otherwise(count)
+        return F.struct(after.alias("text"), *(before[r].alias(r) for r in done), hits.alias(rule))
+
+    def apply(before: Column) -> Column:
+        if rule == "aadhaar":
+            after, count = _masked(before["text"], _near(AADHAAR, AADHAAR_CONTEXT), check_digit_holds)
+        else:
+            pattern, replacement = PATTERNS[rule]
+            after, count = F.regexp_replace(before["text"], pattern, replacement), F.regexp_count(before["text"], F.lit(pattern))
+        after = F.when(_worth(before["text"], rule), after).otherwise(before["text"])
+        return _let(after, lambda after: counted(before, after, count))
+
+    return _let(state, apply)
+
+
 def redact(text: Column) -> Column:
-    """A struct of the masked text and ``counts``, a map of the rules that hit; null stays null, without counts."""
-    counts = {}
-    for rule, pattern in (("victim_relative_named", VICTIM_NAMED), ("protected_child_named", CHILD_NAMED)):
-        counts[rule] = F.regexp_count(text, F.lit(pattern))
-        text = F.regexp_replace(text, pattern, "$1" + MASK)
-    for rule, pattern in (("phone", PHONE), ("email", EMAIL), ("pan", _near(PAN, PAN_CONTEXT)), ("ifsc", _near(IFSC, IFSC_CONTEXT))):
-        counts[rule] = F.regexp_count(text, F.lit(pattern))
-        text = F.regexp_replace(text, pattern, MASK)
-    text, counts["aadhaar"] = _masked(text, _near(AADHAAR, AADHAAR_CONTEXT), check_digit_holds)
-    hits = F.map_from_entries(F.filter(F.array(*(F.struct(F.lit(k).alias("key"), counts[k].alias("value")) for k in RULES)), lambda e: e["value"] > 0))
-    return F.struct(text.alias("text"), hits.alias("counts"))
+    """A struct of the masked text and ``counts``, a map of the rules that hit; null stays null, without counts.
+
+    Rules follow each other, each on what the last one left.
+    """
+    state = F.struct(text.alias("text"))
+    for k, rule in enumerate(RULES):
+        state = _step(state, RULES[:k], rule)
+
+    def result(s: Column) -> Column:
+        entries = F.array(*(F.struct(F.lit(k).alias("key"), s[k].alias("value")) for k in RULES))
+        return F.struct(s["text"].alias("text"), F.map_from_entries(F.filter(entries, lambda e: e["value"] > 0)).alias("counts"))
+
+    return _let(state, result)
 
 
 def has_furniture(text: Column) -> Column:

@@ -23,7 +23,13 @@ HEADINGS: list[tuple[str, str, int]] = [
     ("article", r"^(?:Article|Art\.?)\s+(\d+[A-Z]{0,2})\b", 80),
     ("section", r"^(?:>\s*)?(?:\d{1,3}\[\s*)?(?:\[\d{1,3}\]\s*)?(?:\*\*)?(\d+[A-Z]{0,2})\.\s", 80),
 ]
-FOOTNOTE_LINE = r"^(?:>\s*)?\d+\.\s*(?:Subs|Ins|Omitted|Added|Rep)\."
+# What footnotes say that look like sections, with and without a quote mark.
+QUOTED_FOOTNOTES = r"Subs|Ins|Rep|Omitted|Added|The\s+words|The\s+figures|The\s+brackets|Cl\.|S\.\s|See\s|Renumbered|Now\s|Clause|Sub-section|Cf\.|This\s+Act|The\s+proviso|Section\s+\d"
+FOOTNOTES = r"Subs|Ins|Rep|Omitted|Added|The\s+words|The\s+figures|Cl\.|S\.\s|See\s|Renumbered|Now\s|Clause|Sub-section|Cf\."
+FOOTNOTE_LINE = rf"(?i)^\s*(?:>\s*\d{{1,3}}\.\s*(?:{QUOTED_FOOTNOTES})|\d{{1,3}}\.\s+(?:{FOOTNOTES}))"
+# A list of contents, and what ends it; without an end it has so many characters, and a fifth of the text at most.
+CONTENTS, BODY = r"(?i)ARRANGEMENT\s+OF\s+SECTIONS", r"(?i)An\s+Act\s+to|Be\s+it\s+enacted|Preamble|ACT\s+NO\.\s+\d+"
+CONTENTS_LENGTH = 3000
 
 
 def split_text(text: str, size: int = SIZE, overlap: int = OVERLAP, separators: Sequence[str] = SEPARATORS) -> list[str]:
@@ -97,20 +103,28 @@ def with_context(chunks: DataFrame, title: Column, citation: Column, year: Colum
 def provisions(acts: DataFrame, id: str = "act_id") -> DataFrame:
     """Boundaries of ``acts`` (id, text): type, number, priority, [char_start, char_end), and the chapter and part they stand in.
 
-    Lines of footnotes, and of a table of contents before the preamble, are no sections.
+    Lines of footnotes, and of a list of contents, are no sections; a first preamble counts alone.
     """
     lines = acts.select(id, F.length("text").alias("whole"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     in_order = W.partitionBy(id).orderBy("line_no")
+    so_far = in_order.rowsBetween(W.unboundedPreceding, 0)
     starts = F.coalesce(F.sum(F.length("line") + 1).over(in_order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     kind, number, priority = F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("int")
     for name, pattern, value in reversed(HEADINGS):
         hit = F.col("line").rlike(pattern)
         kind, number, priority = F.when(hit, name).otherwise(kind), F.when(hit, F.regexp_extract("line", pattern, 1)).otherwise(number), F.when(hit, value).otherwise(priority)
     marked = lines.withColumns({"char_start": starts, "type": kind, "number": number, "priority": priority})
-    contents = F.max(F.col("line").rlike(r"(?i)ARRANGEMENT\s+OF\s+SECTIONS")).over(in_order.rowsBetween(W.unboundedPreceding, 0))
-    body = F.max(F.col("type") == "preamble").over(in_order.rowsBetween(W.unboundedPreceding, 0))
-    marked = marked.withColumn("listed", F.coalesce(contents, F.lit(False)) & ~F.coalesce(body, F.lit(False)))
-    found = marked.filter("type is not null and not (type = 'section' and listed)").filter(~((F.col("type") == "section") & F.col("line").rlike(FOOTNOTE_LINE)))
+    is_list = F.col("line").rlike(CONTENTS)
+    list_end = F.min(F.when(is_list, F.col("char_start") + F.length(F.regexp_substr("line", F.lit(f"^.*?{CONTENTS}"))))).over(so_far)
+    marked = marked.withColumns({"listed_to": list_end, "preamble_no": F.sum((F.col("type") == "preamble").cast("int")).over(so_far)})
+    # the body begins with the first line after the list that says so
+    is_body = F.col("line").rlike(BODY) & (F.col("char_start") >= F.col("listed_to"))
+    everything = W.partitionBy(id).orderBy("line_no").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    body = F.min(F.when(is_body, F.col("char_start"))).over(everything)
+    skipped_to = F.coalesce(body, F.least(F.col("listed_to") + CONTENTS_LENGTH, F.floor(F.col("whole") / 5)))
+    marked = marked.withColumn("listed", F.coalesce(F.col("char_start") < F.when(F.col("listed_to").isNotNull(), skipped_to), F.lit(False)))
+    found = marked.filter("type is not null and not (type = 'section' and listed) and not (type = 'preamble' and preamble_no > 1)")
+    found = found.filter(~((F.col("type") == "section") & F.col("line").rlike(FOOTNOTE_LINE)))
     end = F.coalesce(F.lead("char_start").over(in_order), F.col("whole"))
     carried = in_order.rowsBetween(W.unboundedPreceding, 0)
     return found.select(

@@ -96,11 +96,23 @@ def first_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[str]) ->
     return first.select(*key, *(F.col(f"_first.{c}").alias(c) for c in others))
 
 
-def upsert(current: DataFrame, incoming: DataFrame, key: Sequence[str], merge: bool = True) -> DataFrame:
-    """``current`` with ``incoming`` rows added; on a conflict the incoming row wins if merging, else the current one."""
+def last_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The last row of each key."""
+    others = [c for c in rows.columns if c not in key]
+    last = rows.groupBy(*key).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("_last"))
+    return last.select(*(c if c in key else F.col(f"_last.{c}").alias(c) for c in rows.columns))
+
+
+def upsert(current: DataFrame, incoming: DataFrame, key: Sequence[str], merge: bool = True, order: Sequence[str] = ()) -> DataFrame:
+    """``current`` with ``incoming`` rows added; on a conflict the incoming row wins if merging, else the current one.
+
+    Of incoming rows with the same key one lands: the last by ``order`` if merging, else the first (by all other columns, if no order is given).
+    """
+    order = list(order) or [c for c in incoming.columns if c not in key]
+    one = last_per_key(incoming, key, order) if merge else first_per_key(incoming, key, order).select(*incoming.columns)
     if merge:
-        return current.join(incoming.select(*key), list(key), "left_anti").unionByName(incoming)
-    return current.unionByName(incoming.join(current.select(*key), list(key), "left_anti"))
+        return current.join(one.select(*key), list(key), "left_anti").unionByName(one)
+    return current.unionByName(one.join(current.select(*key), list(key), "left_anti"))
 
 
 def reassembled(parts: DataFrame, case: str, order: str, text: str, separator: str = "\n") -> DataFrame:
