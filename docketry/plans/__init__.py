@@ -1 +1,6 @@
+"""Registered queries over the driver's tables, and the SQL that must give the same rows."""
 
+from . import inventory_queries  # registers its queries
+from .queries import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL", "inventory_queries"]
