@@ -28,8 +28,6 @@ from pyspark.sql import functions as F
 from .shared import fresh, join_counted, written
 
 _BLOCK = 64
-#: Rows of fixed width up to which candidates are broadcast (8 MB); beyond, they are joined by a shuffle.
-BROADCAST_ROWS = 100_000
 
 
 def normal(line: Column) -> Column:
@@ -123,7 +121,7 @@ def dedup_lines(documents: DataFrame, min_words: int = 4) -> DataFrame:
     gone = join_counted(occurrences.select("doc_id", "hash", "no", "k1", "k2"), written(repeated, "repeated"), ["k1", "k2"], total)
     gone = gone.filter(F.coalesce("near", F.lit(False)) | (place != F.col("first")))
     gone = gone.groupBy("doc_id", "hash").agg(F.collect_set("no").alias(gone_)).select(F.col("doc_id").alias(id_), F.col("hash").alias(h_), gone_)
-    joined = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(h_)), "left")
+    joined = keyed.join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(h_)), "left")
     parts = F.split("text", "\n")
 
     def kept(lines: Column) -> Column:
@@ -144,8 +142,8 @@ def _words(texts: DataFrame, chosen: DataFrame) -> DataFrame:
     """Candidates (k1, k2, place, runs) with their words, each text split once."""
     wanted = chosen.select(F.col("first.doc_id").alias("id"), F.col("first.hash").alias("h"), F.struct("k1", "k2", F.col("first").alias("place"), "runs").alias("c"))
     wanted = wanted.groupBy("id", "h").agg(F.collect_list("c").alias("cs"))
-    wanted = F.broadcast(wanted) if chosen.count() <= BROADCAST_ROWS else wanted
-    found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("h")))
+    # a join of all sizes by a shuffle: what is wanted grows with the texts
+    found = texts.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("h")))
     lines = F.split("text", "\n")
     taken = found.select(F.explode(_let(lines, lambda lines: F.transform("cs", lambda c: F.struct(c.alias("c"), F.get(lines, c["place"]["no"]).alias("line"))))).alias("x"))
     taken = taken.select("x.c.*", F.split(normal(F.col("x.line")), " ").alias("words"))
