@@ -117,7 +117,7 @@ def dedup_lines(documents: DataFrame, min_words: int = 4) -> DataFrame:
     near = written(_earlier_partner(candidates, total), "near")
 
     # what goes: all but the first of equal lines, and every line with an earlier near duplicate
-    repeated = distinct.join(near.withColumn("near", F.lit(True)), ["k1", "k2"], "left").filter("near or c > 1").select("k1", "k2", "first", "near", "c")
+    repeated = distinct.join(near.withColumn("near", F.lit(True)).hint("merge"), ["k1", "k2"], "left").filter("near or c > 1").select("k1", "k2", "first", "near", "c")
     gone = join_counted(occurrences.select("doc_id", "hash", "no", "k1", "k2"), written(repeated, "repeated"), ["k1", "k2"], total)
     gone = gone.filter(F.coalesce("near", F.lit(False)) | (place != F.col("first")))
     gone = gone.groupBy("doc_id", "hash").agg(F.collect_set("no").alias(gone_)).select(F.col("doc_id").alias(id_), F.col("hash").alias(h_), gone_)

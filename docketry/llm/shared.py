@@ -55,12 +55,12 @@ def join_counted(rows: DataFrame, counted: DataFrame, keys: list[str], total: in
     """``rows`` joined with ``counted``, one row per key and ``c``, how many of the rows have it.
 
     Fewer than ``HOT`` keys can have more than one row in ``HOT`` of ``total``: these are broadcast, so that
-    rows of a hot key stay where they are.  All other keys are joined by a shuffle.
+    rows of a hot key stay where they are.  All other keys are joined by a shuffle, at every size.
     """
     is_hot = F.col("c") * HOT > F.lit(max(total, HOT))
     hot = counted.filter(is_hot)
     here = rows.join(F.broadcast(hot), keys)
-    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(counted.filter(~is_hot), keys)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(counted.filter(~is_hot).hint("merge"), keys)
     return here.unionByName(rest)
 
 
