@@ -41,6 +41,21 @@ def _narrow(a: np.ndarray) -> np.ndarray:
     return a.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(t).max))
 
 
+def escaped(counts: np.ndarray) -> dict[str, np.ndarray]:
+    """Counts in a byte each, and those from 255 on by their places."""
+    large = np.flatnonzero(counts >= 255)
+    return {"counts": np.minimum(counts, 255).astype(np.uint8), "large": _narrow(large), "large_counts": _narrow(counts[large])}
+
+
+def unescaped(arrays: dict[str, np.ndarray], places: np.ndarray) -> np.ndarray:
+    """The counts at these places."""
+    out = arrays["counts"][places].astype(np.int64)
+    at = np.flatnonzero(out == 255)
+    if len(at):
+        out[at] = arrays["large_counts"][np.searchsorted(arrays["large"], places[at].astype(arrays["large"].dtype))]
+    return out
+
+
 def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
     """Sorted keys and counts as a compressed blob."""
     steps = np.diff(keys, prepend=np.uint64(0)).astype(np.uint64)

@@ -42,6 +42,8 @@ from .shared import new_folder, small_batches
 END = np.uint64(0x5D1E4F3A9B27C680)
 #: N-grams of a bucket whose shorter ones are looked up at once.
 _AT_ONCE = 1 << 18
+#: Contexts before more different words than this have their sums stored; those of others are made from their counts.
+LONG = 16
 _MADE = pa.schema([("bucket", pa.int64()), ("n", pa.int64()), ("total", pa.int64()), ("place", pa.list_(pa.int64())), ("count", pa.list_(pa.int64()))])
 
 
@@ -112,31 +114,43 @@ class Model:
         place, count = ha.lookup(self.folder, "w", bucket, hashes, ("counts",))
         return np.where(place >= 0, place + self.levels[1].base[bucket], -1), count
 
-    def found(self, k: int, context: np.ndarray, word: np.ndarray, *fields: str) -> list[np.ndarray]:
-        """Number (-1 if unknown, as where the context or word is) of each n-gram of length ``k``, and ``fields`` of its array."""
-        out = [np.full(len(word), -1, np.int64), *(np.zeros(len(word), np.int64) for _ in fields)]
+    def runs(self, keys: np.ndarray) -> dict[str, np.ndarray]:
+        """Sorted keys as arrays: each context once, where its run of words begins (and the last ends), and the words."""
+        context, word = self.apart(keys)
+        first = ha.run_starts(context)
+        return {"contexts": ha._narrow(context[first]), "starts": ha._narrow(np.append(first, len(keys))), "words": ha._narrow(word)}
+
+    def counts(self, k: int, bucket: int) -> dict[str, np.ndarray]:
+        """The file of a bucket's counts, in the order of its n-grams."""
+        return ha.get(self.folder, f"{'g' if k == self.order else 'n'}{k}-{bucket:06d}")
+
+    def found(self, k: int, context: np.ndarray, word: np.ndarray, counted: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Number (-1 if unknown, as where the context or word is) of each n-gram of length ``k``, and its count if ``counted``."""
+        number, count = np.full(len(word), -1, np.int64), np.zeros(len(word), np.int64)
         rows = np.flatnonzero((context >= 0) & (word >= 0))
         if len(rows):
             keys, inverse = np.unique(self.keys(k, context[rows], word[rows]), return_inverse=True)
-            bucket = self.bucket(k, keys)
-            place, *values = ha.lookup(self.folder, f"g{k}-", bucket, keys, fields)
-            if k < self.order:
-                place = np.where(place >= 0, place + self.levels[k].base[bucket], -1)
-            for o, x in zip(out, (place, *values), strict=True):
-                o[rows] = x.astype(np.int64)[inverse]
-        return out
-
-    def values(self, k: int, prefix: str, field: str, numbers: np.ndarray) -> np.ndarray:
-        """``field`` of the n-grams of these numbers, from the arrays of ``prefix``."""
-        out = np.zeros(len(numbers), np.uint64)
-        if not len(numbers):
-            return out
-        bucket = self.holder(k, numbers)
-        order = np.argsort(bucket, kind="stable")
-        names, starts = np.unique(bucket[order], return_index=True)
-        for b, rows in zip(names.tolist(), np.split(order, starts[1:]), strict=True):
-            out[rows] = ha.get(self.folder, f"{prefix}{b:06d}")[field][numbers[rows] - self.levels[k].base[b]]
-        return out
+            contexts, words = self.apart(keys)
+            place, n = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
+            for b, some in _by_value(self.bucket(k, keys)):
+                runs = ha.get(self.folder, f"g{k}-{b:06d}")
+                at = _within(runs["words"], *_run(runs, contexts[some]), words[some])
+                some, at = some[at >= 0], at[at >= 0]
+                place[some] = at + (self.levels[k].base[b] if k < self.order else 0)
+                if counted and len(some):
+                    n[some] = ha.unescaped(self.counts(k, b), at)
+            number[rows], count[rows] = place[inverse], n[inverse]
+        return number, count
+
+    def ngrams(self, k: int, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Context and last word of the n-grams of these numbers."""
+        context, word = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
+        for b, some in _by_value(self.holder(k, numbers)):
+            runs = ha.get(self.folder, f"g{k}-{b:06d}")
+            at = numbers[some] - self.levels[k].base[b]
+            context[some] = runs["contexts"][np.searchsorted(runs["starts"], at.astype(runs["starts"].dtype), "right") - 1]
+            word[some] = runs["words"][at]
+        return context, word
 
     def without_first(self, k: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """The number of the last k - 1 words of each n-gram of length ``k``; all of them were counted."""
@@ -146,10 +160,43 @@ class Model:
         shorter = np.full(len(unique), self.levels[k - 2].distinct, np.int64)  # starts alone stay so
         rest = unique < self.levels[k - 1].distinct
         if rest.any():
-            shorter[rest] = self.without_first(k - 1, *self.apart(self.values(k - 1, f"g{k - 1}-", "keys", unique[rest])))
+            shorter[rest] = self.without_first(k - 1, *self.ngrams(k - 1, unique[rest]))
         return self.found(k - 1, shorter[inverse], word)[0]
 
 
+def _by_value(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each of ``values`` with its places."""
+    order = np.argsort(values, kind="stable")
+    names, starts = np.unique(values[order], return_index=True)
+    return zip(names.tolist(), np.split(order, starts[1:]) if len(order) else [], strict=True)
+
+
+def _run(runs: dict[str, np.ndarray], contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the run of each context begins and ends: nowhere if it has none."""
+    there, starts = runs["contexts"], runs["starts"]
+    if not len(there):
+        return np.zeros(len(contexts), np.int64), np.zeros(len(contexts), np.int64)
+    at = np.minimum(np.searchsorted(there, contexts.astype(there.dtype)), len(there) - 1)
+    start = starts[at].astype(np.int64)
+    return start, np.where(there[at] == contexts, starts[at + 1].astype(np.int64), start)
+
+
+def _within(words: np.ndarray, start: np.ndarray, end: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The place of each wanted word in its own sorted run; -1 where it isn't there."""
+    low, high = start.copy(), end.copy()
+    open_ = np.flatnonzero(low < high)
+    while len(open_):
+        middle = (low[open_] + high[open_]) >> 1
+        below = words[middle] < wanted[open_]
+        low[open_[below]], high[open_[~below]] = middle[below] + 1, middle[~below]
+        open_ = open_[low[open_] < high[open_]]
+    out = np.full(len(wanted), -1, np.int64)
+    inside = np.flatnonzero(low < end)
+    inside = inside[words[low[inside]] == wanted[inside]]
+    out[inside] = low[inside]
+    return out
+
+
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of all texts, each with its end, and each text's first token."""
     h, bounds = ta.word_hashes(data, offsets)
@@ -223,7 +270,7 @@ def train(documents: DataFrame, text: str = "text", order: int = 2) -> Model:
     def write_grams(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for bucket, keys, counts in ha.by_bucket(batches):
-                ha.put(model.folder, f"g{k}-{bucket:06d}", {"keys": keys})
+                ha.put(model.folder, f"g{k}-{bucket:06d}", model.runs(keys))
                 yield described(bucket, counts, np.arange(len(counts)))
 
         return work
@@ -247,13 +294,14 @@ def train(documents: DataFrame, text: str = "text", order: int = 2) -> Model:
         number(k, count_grams(k).mapInArrow(write_grams(k), made).collect())
 
     def summed_up(k: int, bucket: int, keys: np.ndarray, counts: np.ndarray) -> None:
-        """A bucket's contexts, its counts of counts, and its share of the contexts that lie in all buckets."""
+        """A bucket's contexts of many words, its counts of counts, and its share of the contexts that lie in all buckets."""
         context, _ = model.apart(keys)
         first = ha.run_starts(context)
         sums = [np.add.reduceat(x.astype(np.int64), first) if len(first) else np.zeros(0, np.int64) for x in (counts, counts == 1, counts == 2, counts > 2)]
         who = context[first]
         wide = np.isin(who, model.levels[k].top[:, 0])
-        ha.put(model.folder, f"c{k}-{bucket:06d}", {"keys": who[~wide].astype(np.uint64)} | {f: ha._narrow(s[~wide]) for f, s in zip(("total", "one", "two", "more"), sums, strict=True)})
+        long = ~wide & (np.diff(np.append(first, len(keys))) > LONG)
+        ha.put(model.folder, f"c{k}-{bucket:06d}", {"keys": who[long].astype(np.uint64)} | {f: ha._narrow(s[long]) for f, s in zip(("total", "one", "two", "more"), sums, strict=True)})
         ha.put(model.folder, f"s{k}-{bucket:06d}", {"sizes": np.array([len(keys), *((counts == n).sum() for n in (1, 2, 3, 4))], np.int64), "wide": np.stack([who[wide], *(s[wide] for s in sums)], 1).ravel()})
 
     def slices(keys: np.ndarray) -> Iterator[np.ndarray]:
@@ -262,7 +310,7 @@ def train(documents: DataFrame, text: str = "text", order: int = 2) -> Model:
     def write_highest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = ha.Counter(lambda numbers: model.holder(order - 1, numbers))
         for bucket, keys, counts in ha.by_bucket(batches):
-            ha.put(model.folder, f"g{order}-{bucket:06d}", {"keys": keys, "counts": ha._narrow(counts)})
+            ha.put(model.folder, f"g{order}-{bucket:06d}", model.runs(keys) | ha.escaped(counts))
             summed_up(order, bucket, keys, counts)
             for some in slices(keys):
                 yield from counter.add(model.without_first(order, *model.apart(some)).astype(np.uint64))
@@ -273,14 +321,15 @@ def train(documents: DataFrame, text: str = "text", order: int = 2) -> Model:
         base = model.levels[k].base
         dense = np.zeros(int(base[bucket + 1] - base[bucket]), np.uint64)
         dense[keys.astype(np.int64) - base[bucket]] = counts
-        ha.put(model.folder, f"n{k}-{bucket:06d}", {"counts": ha._narrow(dense)})
+        ha.put(model.folder, f"n{k}-{bucket:06d}", ha.escaped(dense))
         return dense
 
     def write_between(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counter = ha.Counter(lambda numbers: model.holder(k - 1, numbers))
             for bucket, numbers, counts in ha.by_bucket(batches):
-                keys = ha.get(model.folder, f"g{k}-{bucket:06d}")["keys"]
+                runs = ha.get(model.folder, f"g{k}-{bucket:06d}")
+                keys = model.keys(k, np.repeat(runs["contexts"], np.diff(runs["starts"])), runs["words"])
                 summed_up(k, bucket, keys, continued(k, bucket, numbers, counts))
                 for some in slices(keys):
                     yield from counter.add(model.without_first(k, *model.apart(some)).astype(np.uint64))
@@ -319,7 +368,9 @@ def _lowest(model: Model, numbers: np.ndarray) -> np.ndarray:
     known = words >= 0
     out = np.full(len(words), model.freed / (model.words + 1))
     if known.any():
-        n = model.values(1, "n1-", "counts", words[known]).astype(np.int64)
+        n = np.zeros(int(known.sum()), np.int64)
+        for b, some in _by_value(model.holder(1, words[known])):
+            n[some] = ha.unescaped(model.counts(1, b), words[known][some] - model.levels[1].base[b])
         out[known] += (n - model.levels[1].discount[np.minimum(n, 3)]) / model.levels[2].distinct
     return out[inverse]
 
@@ -334,11 +385,23 @@ def _context_sums(model: Model, k: int, before: np.ndarray) -> tuple[np.ndarray,
     rest = np.flatnonzero(~top & (contexts >= 0))
     for n, column in enumerate(sums, 1):
         column[top] = level.top[place[top], n]
-    if len(rest):
-        keys = contexts[rest].astype(np.uint64)
-        _, *found = ha.lookup(model.folder, f"c{k}-", model.word_bucket(ta.mix(keys)), keys, ("total", "one", "two", "more"))
-        for column, x in zip(sums, found, strict=True):
-            column[rest] = x
+    for b, some in _by_value(model.word_bucket(ta.mix(contexts[rest].astype(np.uint64)))):
+        some = rest[some]
+        start, end = _run(ha.get(model.folder, f"g{k}-{b:06d}"), contexts[some])
+        long, counts = end - start > LONG, model.counts(k, b)
+        short = np.flatnonzero(~long)
+        for j in range(LONG):  # the j-th word of all short runs that have one
+            short = short[start[short] + j < end[short]]
+            if not len(short):
+                break
+            c = ha.unescaped(counts, start[short] + j)
+            for column, x in zip(sums, (c, c == 1, c == 2, c > 2), strict=True):
+                column[some[short]] += x
+        if long.any():
+            keys = contexts[some[long]].astype(np.uint64)
+            _, *stored = ha.lookup(model.folder, f"c{k}-", np.full(len(keys), b), keys, ("total", "one", "two", "more"))
+            for column, x in zip(sums, stored, strict=True):
+                column[some[long]] = x
     total, one, two, more = sums
     d = level.discount
     return total[inverse], np.where(total > 0, (d[1] * one + d[2] * two + d[3] * more) / np.maximum(total, 1), 1.0)[inverse]
@@ -351,13 +414,7 @@ def _probabilities(model: Model, words: np.ndarray, bounds: np.ndarray) -> np.nd
         before = _contexts(model, k - 1, numbers, bounds)
         total, free = _context_sums(model, k, before)
         out *= free
-        if k < model.order:
-            numbers, count = model.found(k, before, words)[0], np.zeros(len(words), np.int64)
-            known = np.flatnonzero(numbers >= 0)
-            unique, inverse = np.unique(numbers[known], return_inverse=True)
-            count[known] = model.values(k, f"n{k}-", "counts", unique).astype(np.int64)[inverse]
-        else:
-            _, count = model.found(k, before, words, "counts")
+        numbers, count = model.found(k, before, words, True)
         seen = np.flatnonzero(total > 0)
         c = count[seen]
         out[seen] += (c - model.levels[k].discount[np.minimum(c, 3)]) / total[seen]
