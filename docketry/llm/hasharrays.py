@@ -179,7 +179,7 @@ def _files_of(folder: str) -> Callable[[str], dict[str, np.ndarray]]:
 def _read(folder: str, name: str) -> dict[str, np.ndarray]:
     path = local_path(folder)
     if path is not None:
-        raw = np.memmap(f"{path}/{name}", np.uint8, "r")
+        raw = np.asarray(np.memmap(f"{path}/{name}", np.uint8, "r"))
     else:
         import pyarrow.fs as fs
 

@@ -166,9 +166,10 @@ class Model:
 
 def _by_value(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Each of ``values`` with its places."""
+    values = ha._narrow(values)
     order = np.argsort(values, kind="stable")
-    names, starts = np.unique(values[order], return_index=True)
-    return zip(names.tolist(), np.split(order, starts[1:]) if len(order) else [], strict=True)
+    first = ha.run_starts(values[order])
+    return zip(values[order[first]].tolist(), np.split(order, first[1:]) if len(order) else [], strict=True)
 
 
 def _run(runs: dict[str, np.ndarray], contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -389,14 +390,13 @@ def _context_sums(model: Model, k: int, before: np.ndarray) -> tuple[np.ndarray,
         some = rest[some]
         start, end = _run(ha.get(model.folder, f"g{k}-{b:06d}"), contexts[some])
         long, counts = end - start > LONG, model.counts(k, b)
-        short = np.flatnonzero(~long)
-        for j in range(LONG):  # the j-th word of all short runs that have one
-            short = short[start[short] + j < end[short]]
-            if not len(short):
-                break
-            c = ha.unescaped(counts, start[short] + j)
+        short = np.flatnonzero(~long & (start < end))
+        if len(short):
+            size = (end - start)[short]
+            first = np.cumsum(size) - size
+            c = ha.unescaped(counts, np.repeat(start[short] - first, size) + np.arange(size.sum()))
             for column, x in zip(sums, (c, c == 1, c == 2, c > 2), strict=True):
-                column[some[short]] += x
+                column[some[short]] = np.add.reduceat(x, first, dtype=np.int64)
         if long.any():
             keys = contexts[some[long]].astype(np.uint64)
             _, *stored = ha.lookup(model.folder, f"c{k}-", np.full(len(keys), b), keys, ("total", "one", "two", "more"))

@@ -65,3 +65,36 @@ def test_the_query_tells_texts_apart_by_two_words_before(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     right, wrong = sorted((r.score for r in QUERIES["op2_lm_scoring"](spark, str(tmp_path)).collect() if r.held_out), reverse=True)
     assert right - wrong > 1
+
+
+def test_counts_and_runs_of_any_size_come_back():
+    import numpy as np
+
+    from docketry.llm import hasharrays as ha
+    from docketry.llm import kneserney as kn
+
+    counts = np.array([1, 254, 255, 256, 70_000, 3, 255], np.uint64)
+    stored = ha.escaped(counts)
+    assert stored["counts"].dtype == np.uint8
+    assert ha.unescaped(stored, np.array([4, 0, 6, 2, 1])).tolist() == [70_000, 1, 255, 255, 254]
+
+    rng = np.random.default_rng(1)
+    runs = [np.unique(rng.integers(0, 500, n)) for n in (1, 3, 16, 17, 300)]
+    words, ends = np.concatenate(runs), np.cumsum([len(r) for r in runs])
+    run, wanted = np.repeat(np.arange(5), 510), np.tile(np.arange(510), 5)
+    at = kn._within(words, (ends - [len(r) for r in runs])[run], ends[run], wanted)
+    for r, w, a in zip(run, wanted, at, strict=True):
+        assert (words[a] == w and ends[r] - len(runs[r]) <= a < ends[r]) if w in runs[r] else a == -1
+
+
+def test_contexts_of_many_words_and_large_counts_equal_brute_force(spark):
+    from docketry.llm import kneserney as kn
+
+    texts = [f"so it is {i}" for i in range(60) for _ in range(1 + i % 3)] + ["so it"] * 300
+    asked = ["so it is 7 0 so it is 90", "so it", "it is 59"]
+    p, _ = brute_model([[*t.split(), None] for t in texts], 3, kn.discounts)
+    model = kn.train(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), order=3)
+    got = {r.doc_id: r.score for r in kn.score(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), model).collect()}
+    for i, t in enumerate(asked):
+        padded = ["<s>", "<s>", *t.split(), None]
+        assert got[i] == pytest.approx(sum(math.log10(p(tuple(padded[k - 2 : k]), padded[k])) for k in range(2, len(padded))))
