@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, lines, mixing, topk
+from . import chat, fim, lines, mixing, topk, vectorcodes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +86,29 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "domain", "lang", "source", "epochs")
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import fim
+
+    arranged = fim.fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return fim.restore(arranged).select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("fim", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from . import tokencounts
+
+    counted = tokencounts.count_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import vectorcodes
+
+    codes = vectorcodes.compress(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return vectorcodes.with_label_errors(codes.rows).select("vec_id", "code", "error", "label_error", F.lit(codes.sha256).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_lm_scoring": op2_lm_scoring,
@@ -97,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_lattice_dedup": op9_lattice_dedup,
     "op10_mixing": op10_mixing,
+    "op11_fim": op11_fim,
+    "op12_token_counts": op12_token_counts,
+    "op13_vector_codes": op13_vector_codes,
 }
 
-SQL: dict[str, str] = {"op3_chat_formatting": chat.SQL, "op7_topk": topk.SQL, "op8_line_dedup": lines.SQL, "op10_mixing": mixing.SQL}
+SQL: dict[str, str] = {"op3_chat_formatting": chat.SQL, "op7_topk": topk.SQL, "op8_line_dedup": lines.SQL, "op10_mixing": mixing.SQL, "op11_fim": fim.SQL, "op13_vector_codes": vectorcodes.SQL}

@@ -37,6 +37,14 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder below the shared one, of which nothing is read any more."""
+    if not path.startswith(shared_folder(spark) + "/"):
+        raise ValueError(f"{path} isn't in the shared folder")
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def fresh(frame: DataFrame, *names: str) -> list[str]:
     """``names``, with underscores added to those that are columns of ``frame``."""
     taken, out = {c.lower() for c in frame.columns}, []
