@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -83,14 +84,33 @@ SUBJECTS = {
 }
 
 
-def first_match(text: Column, rules: Sequence[tuple[str, str]], default: Column | None = None) -> Column:
-    """The value of the first rule (pattern, value) that the text matches."""
+def first_match(text: Column, rules: Sequence[tuple[str, str]], default: Column | None = None, upper: Column | None = None) -> Column:
+    """The value of the first rule (pattern, value) that the text matches; ``upper``, if given, spares most searches."""
     out = F.lit(None).cast("string") if default is None else default
     for pattern, value in reversed(list(rules)):
-        out = F.when(text.rlike(pattern), value).otherwise(out)
+        out = F.when(matches(text, pattern, upper), value).otherwise(out)
     return out
 
 
+def required(pattern: str) -> str | None:
+    """The longest word that every match of a pattern without alternatives of its own holds, in upper case; null where none is sure."""
+    plain = re.sub(r"\(\?[a-z]+\)", "", pattern)
+    before = None
+    while before != plain:  # groups go with what repeats them, from the inside
+        before, plain = plain, re.sub(r"\((?:\?[:=!<]+)?[^()]*\)(?:[?*+]|\{[^}]*\})?", " ", plain)
+    plain = re.sub(r"\[[^\]]*\](?:[?*+]|\{[^}]*\})?|\\.(?:[?*+]|\{[^}]*\})?", " ", plain)
+    if "|" in plain or re.search(r"[()]", plain):
+        return None
+    words = re.findall(r"[A-Za-z]{2,}(?![?*A-Za-z])|[A-Za-z]{2,}(?=[A-Za-z][?*])", plain)
+    return max(words, key=len).upper() if words else None
+
+
+def matches(text: Column, pattern: str, upper: Column | None = None) -> Column:
+    """Whether a text matches; where ``upper``, the text in upper case, is given, it must first hold the word that a match needs."""
+    word = required(pattern) if upper is not None else None
+    return text.rlike(pattern) if word is None else F.contains(upper, F.lit(word)) & text.rlike(pattern)
+
+
 def _any(text: Column, phrases: Sequence[str]) -> Column:
     found = F.lit(False)
     for p in phrases:

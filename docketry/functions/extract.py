@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .redaction import _let
 from .text import clean_field, collapse
 
 # Date patterns of the sources, in the order in which they are tried.
@@ -49,6 +50,12 @@ REPORTERS = {
     "taxman": r"(?i)\((\d{4})\)\s*(\d{1,3})\s*Taxman\s+(\d+)",
     "gst": r"(?i)\b(\d{4})\s+GST\s+(\d+)\b",
 }
+#: Of each reporter, words of which a citation holds one, in upper case.
+REPORTER_WORDS = {
+    "air": ["AIR"], "scc_parenthetical": ["SCC"], "scc_standard": ["SCC"], "scc_online": ["ONLINE"], "scc_online_hc": ["ONLINE"], "scr_standard": ["SCR"], "scr_bracket": ["SCR"], "manu": ["MANU/"], "neutral_sc": ["INSC"],
+    "neutral_hc_colon": [":"], "neutral_hc_slash": ["/"], "scale": ["SCALE"], "jt": ["JT"], "bom_lr": ["BOM"], "dlt": ["DLT"], "guj_lr": ["GUJ"], "klj": ["KLJ"], "klt": ["KLT"], "mlw": ["MLW"], "alj": ["ALJ"], "plr": ["PLR"],
+    "cwn": ["CWN"], "itat": ["ITA"], "nclt": ["NCLT", "NCLAT"], "ilr": ["ILR"], "cri_lj": ["CRI"], "comp_cas": ["COMP"], "itr": ["ITR"], "taxman": ["TAXMAN"], "gst": ["GST"],
+}
 # How a citation's text tells its type, tried in this order.
 CITATION_TYPES = [
     (r"SCC|S\.C\.C\.", "SCC"), (r"SCR|S\.C\.R\.", "SCR"), (r"AIR|A\.I\.R\.", "AIR"), ("INSC", "NEUTRAL"), ("MANU", "MANU"), ("SCALE", "SCALE"), ("JT", "JT"),
@@ -165,12 +172,20 @@ def case_header(title: Column, citation: Column, year: Column, section: Column,
 
 
 def citations(text: Column) -> Column:
-    """All citations of a text as an array of structs of reporter and raw text."""
+    """All citations of a text as an array of structs of reporter and raw text; a reporter is searched for where its name is in the text."""
+    none = F.array().cast("array<struct<reporter:string,raw:string>>")
 
-    def of(reporter: str, pattern: str) -> Column:
-        return F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), lambda x: F.struct(F.lit(reporter).alias("reporter"), x.alias("raw")))
+    def all_of(text: Column, upper: Column) -> Column:
+        def of(reporter: str, pattern: str) -> Column:
+            found = F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), lambda x: F.struct(F.lit(reporter).alias("reporter"), x.alias("raw")))
+            named = F.lit(False)
+            for word in REPORTER_WORDS[reporter]:
+                named = named | F.contains(upper, F.lit(word))
+            return F.when(named, found).otherwise(none)
 
-    return F.flatten(F.array(*(of(reporter, pattern) for reporter, pattern in REPORTERS.items())))
+        return F.flatten(F.array(*(of(reporter, pattern) for reporter, pattern in REPORTERS.items())))
+
+    return _let(F.struct(text.alias("t"), F.upper(text).alias("u")), lambda s: F.when(s["t"].isNotNull(), all_of(s["t"], s["u"])))
 
 
 def _undotted(citation: Column) -> Column:

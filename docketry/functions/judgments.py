@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .classify import first_match
+from .classify import first_match, matches
+from .redaction import _let
 from .text import clean_ocr, collapse
 
 #: Characters of the head, and of the end, in which metadata are looked for.
@@ -173,7 +174,7 @@ def end(text: Column) -> Column:
     return clean_ocr(F.when(F.length(text) > END, F.substring(text, -END, END)).otherwise(text))
 
 
-def decision_date(header: Column) -> Column:
+def decision_date(header: Column, upper: Column | None = None) -> Column:
     """ISO date of the first pattern that gives a day to 31 and a year from 1900 to 2100; two-digit years below 50 are of this century.
 
     Days aren't held against their month, so the 31st of February stays as it is written.
@@ -182,35 +183,41 @@ def decision_date(header: Column) -> Column:
     by_name = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
 
     def of(pattern: str, groups: str) -> Column:
-        part = {g: F.regexp_extract(header, pattern, k) for k, g in enumerate(groups, 1)}
-        day, year = part["D"].try_cast("int"), part["Y"].try_cast("int")
-        year = F.when(year < 100, year + F.when(year < 50, 2000).otherwise(1900)).otherwise(year)
-        month = F.try_element_at(by_name, F.lower(part["W"])) if "W" in groups else part["M"].try_cast("int")
-        valid = (month != 0) & day.between(1, 31) & year.between(1900, 2100)
-        return F.when(valid, F.format_string("%04d-%02d-%02d", year, month, day))
+        def read(hit: Column) -> Column:
+            part = {g: F.regexp_extract(hit, pattern, k) for k, g in enumerate(groups, 1)}
+            day, year = part["D"].try_cast("int"), part["Y"].try_cast("int")
+            year = F.when(year < 100, year + F.when(year < 50, 2000).otherwise(1900)).otherwise(year)
+            month = F.try_element_at(by_name, F.lower(part["W"])) if "W" in groups else part["M"].try_cast("int")
+            valid = (month != 0) & day.between(1, 31) & year.between(1900, 2100)
+            return F.when(valid, F.format_string("%04d-%02d-%02d", year, month, day))
+
+        return F.when(matches(header, pattern, upper), _let(F.regexp_substr(header, F.lit(pattern)), read))
 
     return F.coalesce(*(of(p, g) for p, g in DATES))
 
 
-def case_type(header: Column) -> Column:
-    return first_match(header, CASE_TYPES)
+def case_type(header: Column, upper: Column | None = None) -> Column:
+    return first_match(header, CASE_TYPES, upper=upper)
 
 
 def case_number(header: Column) -> Column:
     def of(pattern: str, groups: int) -> Column:
-        parts = [F.regexp_extract(header, pattern, k + 1) for k in range(groups)]
-        return F.when(parts[0] != "", F.concat_ws(" of ", *parts))
+        def read(hit: Column) -> Column:
+            parts = [F.regexp_extract(hit, pattern, k + 1) for k in range(groups)]
+            return F.when(parts[0] != "", F.concat_ws(" of ", *parts))
+
+        return _let(F.regexp_substr(header, F.lit(pattern)), read)
 
     return F.coalesce(*(of(p, n) for p, n in CASE_NUMBERS))
 
 
-def jurisdiction(header: Column, kind: Column) -> Column:
+def jurisdiction(header: Column, kind: Column, upper: Column | None = None) -> Column:
     """By the header, or else by the case's type; null where neither says."""
-    return F.coalesce(first_match(header, JURISDICTIONS), F.when(header != "", first_match(kind, JURISDICTION_OF_TYPE)))
+    return F.coalesce(first_match(header, JURISDICTIONS, upper=upper), F.when(header != "", first_match(kind, JURISDICTION_OF_TYPE)))
 
 
-def outcome(footer: Column) -> Column:
-    return first_match(footer, OUTCOMES)
+def outcome(footer: Column, upper: Column | None = None) -> Column:
+    return first_match(footer, OUTCOMES, upper=upper)
 
 
 def bench_type(header: Column) -> Column:
@@ -225,10 +232,13 @@ def _first_of_each(rows: Column, key: Callable[[Column], Column]) -> Column:
 
 def acts_cited(text: Column, most: int = 20) -> Column:
     """The first ``most`` different (section, act) that a text cites; acts differ without regard to case."""
-    pairs = F.arrays_zip(F.regexp_extract_all(text, F.lit(ACT), 1).alias("s"), F.regexp_extract_all(text, F.lit(ACT), 2).alias("a"))
-    cited = F.transform(pairs, lambda p: F.struct(F.trim(p["s"]).alias("section"), F.regexp_replace(collapse(p["a"]), r"[., ]+$", "").alias("act")))
+
+    def read(hit: Column) -> Column:
+        return F.struct(F.trim(F.regexp_extract(hit, ACT, 1)).alias("section"), F.regexp_replace(collapse(F.regexp_extract(hit, ACT, 2)), r"[., ]+$", "").alias("act"))
+
+    cited = F.transform(F.regexp_extract_all(text, F.lit(ACT), 0), read)
     long_enough = F.filter(cited, lambda c: F.length(c["act"]) > 3)
-    return F.slice(_first_of_each(long_enough, lambda c: F.concat_ws("|", c["section"], F.lower(c["act"]))), 1, most)
+    return _let(long_enough, lambda rows: F.slice(_first_of_each(rows, lambda c: F.concat_ws("|", c["section"], F.lower(c["act"]))), 1, most))
 
 
 def articles_cited(text: Column, most: int = 10) -> Column:
@@ -237,18 +247,44 @@ def articles_cited(text: Column, most: int = 10) -> Column:
 
 
 def metadata(text: Column) -> Column:
-    """A struct of what a judgment's head, end and body say about it; null members where they say nothing."""
-    header, kind = head(text), case_type(head(text))
-    return F.struct(
-        decision_date(header).alias("decision_date"),
-        kind.alias("case_type"),
-        case_number(header).alias("case_number"),
-        jurisdiction(header, kind).alias("jurisdiction"),
-        bench_type(header).alias("bench_type"),
-        outcome(end(text)).alias("disposal_status"),
-        acts_cited(text).alias("acts_cited"),
-        articles_cited(text).alias("articles_cited"),
-    )
+    """A struct of what a judgment's head, end and body say about it; null members where they say nothing.
+
+    Head and end are cleaned once a text, and each rule set looks at the result.
+    """
+
+    def of(ends: Column) -> Column:
+        header, upper = ends["header"], ends["upper"]
+
+        def rest(kind: Column) -> Column:
+            return F.struct(
+                decision_date(header, upper).alias("decision_date"),
+                kind.alias("case_type"),
+                case_number(header).alias("case_number"),
+                jurisdiction(header, kind, upper).alias("jurisdiction"),
+                bench_type(header).alias("bench_type"),
+                outcome(ends["footer"], ends["last"]).alias("disposal_status"),
+                acts_cited(text).alias("acts_cited"),
+                articles_cited(text).alias("articles_cited"),
+            )
+
+        return _let(case_type(header, upper), rest)
+
+    def with_upper(ends: Column) -> Column:
+        return F.struct(ends["header"].alias("header"), F.upper(ends["header"]).alias("upper"), ends["footer"].alias("footer"), F.upper(ends["footer"]).alias("last"))
+
+    return _let(_let(F.struct(head(text).alias("header"), end(text).alias("footer")), with_upper), of)
+
+
+def full_metadata(text: Column) -> Column:
+    """All of ``metadata`` and of ``people.people`` in one struct, the head cleaned once for both."""
+    from . import people
+
+    def joined(parts: Column) -> Column:
+        names = ["decision_date", "case_type", "case_number", "jurisdiction", "bench_type", "disposal_status", "acts_cited", "articles_cited"]
+        others = ["judges", "petitioner", "respondent", "petitioner_advocates", "respondent_advocates", "court", "lower_court", "first_report"]
+        return F.struct(*(parts["m"][n].alias(n) for n in names), *(parts["p"][n].alias(n) for n in others), F.size(parts["p"]["judges"]).alias("bench_strength"))
+
+    return _let(F.struct(metadata(text).alias("m"), _let(head(text), lambda h: people.people(text, h)).alias("p")), joined)
 
 
 def is_judge(name: Column, court_type: Column) -> Column:

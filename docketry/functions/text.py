@@ -22,9 +22,18 @@ SKIPPED_BOXES = ["page-header", "page-footer"]
 BOX_MARKS = {"title": "[TITLE] # ", "section-header": "[SECTION] ## "}
 
 
+#: What counts as white space at the ends of a text, in Unicode's terms.
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def strip(text: Column) -> Column:
+    """A text without white space of any kind at its ends."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
+
+
 def collapse(text: Column) -> Column:
     """White space as single spaces, none at the ends."""
-    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(text, r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+", " "))
 
 
 def clean_field(text: Column) -> Column:

@@ -297,19 +297,28 @@ def parquet_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # the release: chunks of a case are turns of a conversation
 _BARRED = ["", " Cite this article", "", " It shall not be published.", ""]
+_ORIGINAL = """CASE WHEN turn % 2 = 0 THEN 'Original of turn ' || turn || CASE WHEN conv_id % 4 = 0 THEN ' call 9876543210' ELSE '' END || CASE WHEN conv_id % 7 = 3 AND turn = 2 THEN ' heard in camera' ELSE '' END WHEN turn % 5 = 3 THEN '' END"""
 _CASES = f"""
 chunks AS (SELECT conv_id, turn, 'Turn ' || turn || ' by ' || coalesce(role, '?') || CASE WHEN conv_id % 3 = 0 THEN ' call 9447091300 or write to a.b@example.org' ELSE '' END ||
-  CASE WHEN turn = 1 THEN {sql_pick("conv_id", _BARRED)} ELSE '' END AS text FROM conversations),
-cases AS (SELECT conv_id, count(*) AS parts, CASE WHEN bool_or(contains(text, 'Cite this')) THEN 'purged_third_party_source' WHEN bool_or(contains(text, 'shall not be published')) THEN 'excluded_non_publication' ELSE 'kept' END AS status FROM chunks GROUP BY 1),
+  CASE WHEN turn = 1 THEN {sql_pick("conv_id", _BARRED)} ELSE '' END AS text, {_ORIGINAL} AS text_original, role FROM conversations),
+judged AS (SELECT *, coalesce(nullif(text_original, ''), text) AS t FROM chunks),
+cases AS (SELECT conv_id, count(*) AS parts, CASE WHEN bool_or(contains(t, 'Cite this')) THEN 'purged_third_party_source' WHEN bool_or(contains(t, 'shall not be published') OR contains(t, 'in camera')) THEN 'excluded_non_publication' ELSE 'kept' END AS status FROM judged GROUP BY 1),
 kept AS (SELECT c.* FROM chunks c JOIN cases s ON c.conv_id = s.conv_id AND s.status = 'kept')"""
+_JUDGES = ['["A. Rao", "B. Sen"]', "C. Das", "", None]
 
 
 def _case_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = F.col("conv_id")
+    conv, turn = F.col("conv_id"), F.col("turn")
     text = F.concat(
-        F.lit("Turn "), F.col("turn").cast("string"), F.lit(" by "), F.coalesce("role", F.lit("?")), F.when(conv % 3 == 0, " call 9447091300 or write to a.b@example.org").otherwise(""), F.when(F.col("turn") == 1, pick(conv, _BARRED)).otherwise("")
+        F.lit("Turn "), turn.cast("string"), F.lit(" by "), F.coalesce("role", F.lit("?")), F.when(conv % 3 == 0, " call 9447091300 or write to a.b@example.org").otherwise(""), F.when(turn == 1, pick(conv, _BARRED)).otherwise("")
     )
-    return table(spark, sf_dir, "conversations").select(conv.alias("case_id"), F.col("turn").alias("chunk_index"), text.alias("text"))
+    original = F.concat(F.lit("Original of turn "), turn.cast("string"), F.when(conv % 4 == 0, " call 9876543210").otherwise(""), F.when((conv % 7 == 3) & (turn == 2), " heard in camera").otherwise(""))
+    fields = {
+        "case_id": conv, "chunk_index": turn, "text": text, "text_original": F.when(turn % 2 == 0, original).when(turn % 5 == 3, ""),
+        "chunk_id": F.concat_ws("_", conv, turn), "total_chunks": F.when(turn % 3 == 0, "three").otherwise(F.concat(F.lit(" "), turn.cast("string"))), "char_start": turn * 10, "page_start": turn.cast("string"),
+        "box_aware": F.when(turn % 2 == 0, "yes").otherwise(""), "judges": pick(conv, _JUDGES), "court": F.col("role"), "year": F.concat(F.lit("20"), F.lpad((conv % 100).cast("string"), 2, "0")), "not_published": F.lit("x"),
+    }
+    return table(spark, sf_dir, "conversations").select(*(c.alias(name) for name, c in fields.items()))
 
 
 @query(f"WITH {_CASES} SELECT conv_id AS case_id, parts, status FROM cases")
@@ -317,21 +326,28 @@ def case_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return release.case_status(_case_chunks(spark, sf_dir))
 
 
+def _masked(column: str) -> str:
+    return f"replace(replace(replace({column}, '9447091300', '[REDACTED]'), 'a.b@example.org', '[REDACTED]'), '9876543210', '[REDACTED]')"
+
+
 @query(f"""
 WITH {_CASES}
-SELECT conv_id::VARCHAR AS case_id, turn AS chunk_index, replace(replace(text, '9447091300', '[REDACTED]'), 'a.b@example.org', '[REDACTED]') AS text, 'en' AS language_code, '' AS citation, []::VARCHAR[] AS judges FROM kept""")
+SELECT conv_id::VARCHAR AS case_id, conv_id || '_' || turn AS chunk_id, turn AS chunk_index, CASE WHEN turn % 3 <> 0 THEN turn END AS total_chunks, {_masked("text")} AS text, {_masked("text_original")} AS text_original,
+  turn * 10 AS char_start, NULL::BIGINT AS char_end, turn AS page_start, NULL::BIGINT AS page_end, NULL::VARCHAR AS section_type, NULL::BIGINT AS section_priority, turn % 2 = 0 AS box_aware,
+  role AS court, NULL::VARCHAR AS court_code, NULL::VARCHAR AS court_type, NULL::VARCHAR AS bench, NULL::BIGINT AS bench_strength,
+  CASE conv_id % 4 WHEN 0 THEN ['A. Rao', 'B. Sen'] WHEN 1 THEN ['C. Das'] ELSE []::VARCHAR[] END AS judges, NULL::VARCHAR AS title, NULL::VARCHAR AS description, NULL::VARCHAR AS petitioner, NULL::VARCHAR AS respondent,
+  NULL::VARCHAR AS disposition, '' AS case_number, '' AS citation, NULL::VARCHAR AS decision_date, NULL::VARCHAR AS date_of_registration, 2000 + conv_id % 100 AS year, '' AS source_url, 'en' AS language_code FROM kept""")
 def released_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole cases dropped by any of their chunks; the rest redacted and on the published schema (the columns that this data fills)."""
+    """Whole cases dropped by any of their chunks; the rest with both texts redacted, on the whole published schema."""
     chunks = _case_chunks(spark, sf_dir)
-    out = release.published(release.redacted_chunks(chunks, release.case_status(chunks)))
-    return out.select("case_id", "chunk_index", "text", "language_code", "citation", "judges")
+    return release.published(release.redacted_chunks(chunks, release.case_status(chunks)))
 
 
 @query(f"""
-WITH {_CASES}
+WITH {_CASES}, hits AS (SELECT unnest(['phone', 'email', 'phone']) AS rule, unnest([contains(text, '9447091300'), contains(text, 'a.b@example.org'), coalesce(contains(text_original, '9876543210'), FALSE)]) AS hit FROM kept)
 SELECT 'documents_' || status AS name, count(*) AS n FROM cases GROUP BY 1
 UNION ALL SELECT 'chunks_kept', count(*) FROM kept
-UNION ALL SELECT unnest(['redacted_phone', 'redacted_email']), count(*) FROM kept WHERE contains(text, '9447091300') HAVING count(*) > 0""")
+UNION ALL SELECT 'redacted_' || rule, count(*) FROM hits WHERE hit GROUP BY 1""")
 def release_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = _case_chunks(spark, sf_dir)
     status = release.case_status(chunks)

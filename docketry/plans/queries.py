@@ -444,7 +444,7 @@ SELECT o_orderkey, unnest(['air', 'scc_parenthetical', 'neutral_sc', 'manu']) AS
   unnest(['AIR ' || y || ' SC ' || n, '(' || y || ') ' || v || ' SCC ' || n, y || ' INSC ' || n, 'MANU/TN/' || n || '/' || y]) AS raw FROM t""")
 def extracted_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.format_string("see AIR %1$s SC %2$s; (%1$s) %3$s SCC %2$s, %1$s INSC %2$s and MANU/TN/%2$s/%1$s", "y", "n", "v")
-    return _order_pages(spark, sf_dir).select("o_orderkey", F.explode(extract.citations(text)).alias("c")).select("o_orderkey", "c.*")
+    return _order_pages(spark, sf_dir).select("o_orderkey", F.explode_outer(extract.citations(text)).alias("c")).filter("c is not null").select("o_orderkey", "c.*")
 
 
 @query("""
@@ -537,7 +537,7 @@ def document_section_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def document_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.explode(extract.citations(F.col("text"))).alias("c")).select("doc_id", "c.*")
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode_outer(extract.citations(F.col("text"))).alias("c")).filter("c is not null").select("doc_id", "c.*")
 
 
 @query()

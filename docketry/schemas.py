@@ -66,12 +66,17 @@ def taxonomy(rows: DataFrame) -> DataFrame:
     )
 
 
-def gate(rows: DataFrame, required: str = "text") -> DataFrame:
-    """Rows that must not be published, with a reason: empty text or page furniture; internal columns are an error at once."""
-    from .functions.redaction import has_furniture
-
+def refuse_internal(rows: DataFrame) -> None:
+    """An error if ``rows`` have columns that are never published."""
     if leaked := sorted({*rows.columns} & {*INTERNAL}):
         raise ValueError(f"internal columns: {leaked}")
-    empty = F.trim(F.coalesce(F.col(required), F.lit(""))) == ""
-    reason = F.when(empty, "empty text").when(has_furniture(F.col(required)), "page furniture")
+
+
+def gate(rows: DataFrame, texts: tuple[str, ...] = ("text", "text_original")) -> DataFrame:
+    """Rows that must not be published, with a reason: no text or page furniture in any text column; internal columns are an error at once."""
+    from .functions.redaction import has_furniture
+
+    refuse_internal(rows)
+    text = F.concat_ws("", *(F.col(c) for c in texts if c in rows.columns))
+    reason = F.when(F.trim(text) == "", "empty text").when(has_furniture(text), "page furniture")
     return rows.withColumn("reason", reason).filter("reason is not null")

@@ -29,6 +29,57 @@ def test_one_chunk_bars_its_whole_case(spark):
     assert release.case_status(chunks.limit(0)).count() == 0
 
 
+def test_original_texts_are_judged_first_and_masked_too(spark):
+    from docketry.operators import release
+
+    rows = [
+        ("a", 0, "call 9447091300", "original call 9447091301 or 9447091302"),
+        ("b", 0, "plain", "it was heard in camera"),
+        ("c", 0, "heard in camera", "plain"),  # its text isn't looked at, as it has an original
+        ("d", 0, "heard in camera", ""),
+        ("e", 0, None, None),
+    ]
+    chunks = spark.createDataFrame(rows, "case_id string, chunk_index long, text string, text_original string")
+    status = release.case_status(chunks)
+    assert {r.case_id: r.status for r in status.collect()} == {"a": "kept", "b": "excluded_non_publication", "c": "kept", "d": "excluded_non_publication", "e": "kept"}
+    out = {r.case_id: r for r in release.redacted_chunks(chunks, status).collect()}
+    assert (out["a"].text, out["a"].text_original, out["a"].counts) == ("call [REDACTED]", "original call [REDACTED] or [REDACTED]", {"phone": 3})
+    assert out["c"].counts == out["e"].counts == {} and out["e"].text is None
+    courts = release.case_status(spark.createDataFrame([("KLHC1", 0, "x"), ("ZZZZ1", 0, "Cite this article")], "case_id string, chunk_index long, text string"), known_courts=True)
+    assert {r.case_id: r.status for r in courts.collect()} == {"KLHC1": "kept", "ZZZZ1": "unknown_court_code"}
+
+
+def test_a_release_is_written_whole_or_not_at_all(spark, tmp_path):
+    from docketry.operators import release
+    from docketry.sources import sinks
+
+    schema = "case_id string, chunk_index long, text string, text_original string, court string"
+    good = spark.createDataFrame([("a", 0, "call 9447091300", "write to a.b@example.org", "Kerala"), ("b", 0, "not reported in any media", None, "Kerala"), ("c", 0, "fine", None, "Delhi")], schema)
+    made = release.run(good, str(tmp_path / "out"))
+    assert {r.court: r.rows for r in made.collect()} == {"Kerala": 1, "Delhi": 1}
+    rows = {r.case_id: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert set(rows) == {"a", "c"} and rows["a"].text == "call [REDACTED]" and rows["a"].text_original == "write to [REDACTED]"
+    total = sinks.totals(spark, str(tmp_path / "out"), "v1").first()
+    assert (total.version, total.files, total.rows) == ("v1", 2, 2) and total.bytes > 0
+    with pytest.raises(FileExistsError):
+        release.run(good, str(tmp_path / "out"))
+    bad = good.unionByName(spark.createDataFrame([("d", 0, " ", None, "Delhi")], schema))
+    with pytest.raises(sinks.GateError, match="d: empty text"):
+        sinks.release(bad, str(tmp_path / "bad"), list(release.schemas.CASE_LAW), "court", str(tmp_path / "refused"))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["out", "refused"]
+    assert [r.case_id for r in spark.read.parquet(str(tmp_path / "refused")).collect()] == ["d"]
+
+
+def test_invalid_outputs_are_set_aside_and_done_again(spark, tmp_path):
+    from docketry.sources import sinks
+
+    chunks = spark.createDataFrame([("a", "x" * 100, 1), ("b", "x" * 100, 1), ("b", "short", 2), ("c", "x" * 100, None)], "doc string, text string, page int")
+    wanted = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "doc string")
+    valid, again = sinks.validated(chunks, wanted, "doc", ["page"], str(tmp_path / "q"))
+    assert [r.doc for r in valid.collect()] == ["a"] and sorted(r.doc for r in again.collect()) == ["b", "c", "d"]
+    assert sorted(r.doc for r in spark.read.parquet(str(tmp_path / "q")).collect()) == ["b", "b", "c"]
+
+
 def test_caps_medians_and_queues(spark):
     from docketry.operators import inventory
 
