@@ -22,11 +22,6 @@ _SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_powers: dict[str, np.ndarray] = {}
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of unsigned 64-bit integers."""
     x = x.astype(np.uint64, copy=True)
@@ -38,15 +33,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power_table(name: str, base: np.uint64, n: int) -> np.ndarray:
-    table = _powers.get(name)
-    if table is None or len(table) < n:
-        table = np.full(max(n, CHUNK_BYTES + 1), base, np.uint64)
-        table[0] = 1
-        np.multiply.accumulate(table, out=table)
-        if len(table) <= 4 * CHUNK_BYTES:
-            _powers[name] = table
-    return table[:n]
+#: Values of each byte at each of the first places of a word.
+_PLACES = 64
+_VALUES = mix(np.arange(_PLACES * 256, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15))
 
 
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +71,9 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     """Hashes of the words of all texts, ASCII letters lower-cased, and each text's first word.
 
     Words are maximal runs of bytes other than space and 0x09-0x0D, and never
-    cross texts.  The hash is a polynomial over bytes modulo 2**64, scrambled.
+    cross texts.  Each byte is scrambled together with its place in the word, and
+    these values are summed modulo 2**64 and scrambled: equal hashes of different words
+    are a matter of chance alone, however the words are built.
     """
     n = len(data)
     n_texts = len(offsets) - 1
@@ -95,10 +86,17 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     first[offsets] = True
     starts = np.flatnonzero(inside[1:-1] & (~inside[:-2] | first[:-1]))
     ends = np.flatnonzero(inside[1:-1] & (~inside[2:] | first[1:])) + 1
+    begin = np.zeros(n, np.int32)
+    begin[starts] = starts
+    place = np.arange(n, dtype=np.int32) - np.maximum.accumulate(begin)
+    low = _LOWER[data]
+    values = _VALUES[(np.minimum(place, _PLACES - 1) << 8) | low]
+    far = np.flatnonzero((place >= _PLACES) & inside[1:-1])
+    if len(far):
+        values[far] = mix((place[far].astype(np.uint64) << np.uint64(8) | low[far]) + np.uint64(0x9E3779B97F4A7C15))
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * _power_table("up", _BASE, n), out=total[1:])
-    h = (total[ends] - total[starts]) * _power_table("down", _BASE_INVERSE, n)[starts]
-    return mix(h), np.searchsorted(starts, offsets).astype(np.int64)
+    np.cumsum(values, out=total[1:])
+    return mix(total[ends] - total[starts]), np.searchsorted(starts, offsets).astype(np.int64)
 
 
 def shingle_hashes(words: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

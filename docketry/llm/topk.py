@@ -22,9 +22,9 @@ batches.
 
 Ties go to the smaller id.  Vectors that are null or hold null or non-finite
 components take no part.  Shorter vectors count as padded with zeros.  Of rows
-with the same id the one with the least vector counts.  Components so large that
-a score might not fit 64 bits (the largest, squared, times the dimension) raise
-an OverflowError before anything is scored.
+with the same id the one with the least vector counts.  Where bounds might not fit
+64 bits they are integers of any size; only a component or a score among the results that doesn't
+fit 64 bits itself is an error.
 """
 
 from __future__ import annotations
@@ -44,6 +44,8 @@ ROWS, QUERIES = 4096, 256
 PIVOTS = 1024
 DEPTHS = (1 / 16, 1 / 4, 1 / 2, 3 / 4, 1.0)
 _NO_BOUND = np.iinfo(np.int64).min
+#: Below every bound, if these are integers of any size.
+_LEAST = -(1 << 200)
 
 
 def usable(vector: Column) -> Column:
@@ -70,13 +72,14 @@ class Lists:
         least = np.full(len(queries), _NO_BOUND) if least is None else least
         signed = np.concatenate([np.maximum(queries, 0), np.maximum(-queries, 0)], 1)
         bound = self.largest * float(signed.max(initial=0)) * max(1, d)
-        kind = np.float32 if bound < 1 << 23 else np.float64 if bound < 1 << 52 else np.int64
+        kind = np.float32 if bound < 1 << 23 else np.float64 if bound < 1 << 52 else np.int64 if bound < 1 << 61 else object
         both = self.both.setdefault(kind, self.both[np.int64].astype(kind))
         weights = np.ascontiguousarray(signed.T.astype(kind))
         lowest, heads = both.min(0), both.max(0)
-        none = np.iinfo(np.int64).min // 4 if kind is np.int64 else -np.inf
-        floor = np.where(least == _NO_BOUND, none, least).astype(kind)
-        asking = np.flatnonzero(heads @ weights >= floor)  # the others have no candidate here
+        none = _LEAST if kind is object else np.iinfo(np.int64).min // 4 if kind is np.int64 else -np.inf
+        floor = least.astype(kind)
+        floor[least == _NO_BOUND] = none
+        asking = np.flatnonzero((heads @ weights >= floor).astype(bool))  # the others have no candidate here
         read = np.zeros(len(queries), np.int64)
         alive = np.arange(n)
         survivors = np.ones((n, len(asking)), bool)
@@ -92,21 +95,31 @@ class Lists:
             threshold = floor[asking]
             if len(alive) >= k:
                 threshold = np.maximum(threshold, np.partition(lower, len(alive) - k, axis=0)[len(alive) - k])
-            survivors = (upper >= threshold) & ~own
+            survivors = (upper >= threshold).astype(bool) & ~own
             keep = survivors.any(1)
             alive, survivors = alive[keep], survivors[keep]
             if survivors.sum() <= 4 * k * len(asking):
                 break
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(queries)
         for j, q in enumerate(asking.tolist()):
-            few = alive[survivors[:, j] & (self.ids[alive] != query_ids[q])]
-            scores = self.rows[few] @ queries[q]
+            few = alive[survivors[:, j].astype(bool) & (self.ids[alive] != query_ids[q])]
+            scores = _scores(self.rows[few], queries[q], kind is object)
             few, scores = few[scores >= least[q]], scores[scores >= least[q]]
             best = np.lexsort((self.ids[few], -scores))[:k]
             found[q] = few[best], scores[best]
         return found, read
 
 
+def _scores(rows: np.ndarray, query: np.ndarray, large: bool) -> np.ndarray:
+    """Inner products; sums are modulo 2**64, so they are right wherever the product itself fits."""
+    if large:
+        exact = rows.astype(object) @ query.astype(object)
+        if any(not -(1 << 63) < x < 1 << 63 for x in exact):
+            raise OverflowError("a score among the results doesn't fit 64 bits")
+        return exact.astype(np.int64)
+    return rows @ query
+
+
 def nearest_pivot(matrix: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """The pivot at the least distance of each row."""
     m, p = matrix.astype(np.float64), pivots.astype(np.float64)
@@ -151,13 +164,13 @@ def visits(vectors: DataFrame, is_query: Column, k: int = 20, id: str = "vec_id"
     """A row per query and block that it went to: query_id, ``read`` of ``entries`` list entries, and ids and scores found there."""
     whole = F.transform(F.col(vector), lambda x: F.floor(64 * x.cast("double")).cast("long"))
     good = vectors.filter(F.col(id).isNotNull() & usable(F.col(vector))).select(
-        F.col(id).cast("long").alias("id"), F.coalesce(is_query, F.lit(False)).alias("query"), whole.alias("vector"), F.array_max(F.transform(vector, lambda x: F.abs(F.floor(64 * x.cast("double")).cast("double")))).alias("most")
+        F.col(id).cast("long").alias("id"), F.coalesce(is_query, F.lit(False)).alias("query"), whole.alias("vector"), F.array_max(F.transform(vector, lambda x: F.abs(64 * x.cast("double")))).alias("most")
     )
     once = written(good.groupBy("id", "query").agg(F.min("vector").alias("vector"), F.max("most").alias("most")), "vectors")
     sizes = once.agg(F.count("*").alias("rows"), F.max(F.size("vector")).alias("width"), F.max("most").alias("most")).first()
-    width, most = int(sizes.width or 0), float(sizes.most or 0)
-    if most * most * max(1, width) >= 2.0**63:
-        raise OverflowError(f"components up to {most:g} in {width} dimensions: scores may not fit 64 bits")
+    width = int(sizes.width or 0)
+    if float(sizes.most or 0) >= 2.0**63:
+        raise OverflowError(f"a component of {sizes.most / 64:g}: 64 times it doesn't fit 64 bits")
     once = once.drop("most")
     wanted = min(PIVOTS, -(-sizes.rows // rows)) or 1
     sample = once.orderBy(F.xxhash64("id", F.lit(7))).limit(wanted).select("vector").toArrow()
