@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -239,8 +241,8 @@ def effective_dates(text: Column) -> Column:
     return F.array_distinct(F.concat(*(_distinct_matches(text, p) for p in EFFECTIVE_DATES)))
 
 
-def sorted_json(fields: dict[str, Column]) -> Column:
-    """A JSON object as text: keys in order, a space after colons and commas, characters beyond ASCII escaped, nulls written."""
+def sorted_json(fields: dict[str, Column], numbers: Collection[str] = ()) -> Column:
+    """A JSON object as text: keys in order, a space after colons and commas, characters beyond ASCII escaped, nulls written; ``numbers`` names keys of whole numbers."""
 
     def quoted(value: Column) -> Column:
         plain = F.to_json(F.array(value.cast("string")))
@@ -248,7 +250,7 @@ def sorted_json(fields: dict[str, Column]) -> Column:
         codes = F.transform(F.filter(F.split(F.coalesce(inner, F.lit("")), ""), lambda c: c != ""), _ascii)
         return F.when(value.isNull(), "null").otherwise(F.when(inner.rlike(r"[^\x00-\x7f]"), F.array_join(codes, "")).otherwise(inner))
 
-    parts = [F.concat(F.lit(f'"{k}": '), quoted(v)) for k, v in sorted(fields.items())]
+    parts = [F.concat(F.lit(f'"{k}": '), F.coalesce(v.cast("string"), F.lit("null")) if k in numbers else quoted(v)) for k, v in sorted(fields.items())]
     return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
 
 
@@ -259,13 +261,13 @@ def _ascii(c: Column) -> Column:
     return F.when(c.rlike(r"^[\x00-\x7f]$"), c).otherwise(escaped)
 
 
-def case_id(slug: str, number: Column, fallback: dict[str, Column], with_context: bool = False) -> Column:
+def case_id(slug: str, number: Column, fallback: dict[str, Column], with_context: bool = False, numbers: Collection[str] = ()) -> Column:
     """``SLUG_NUMBER`` of letters and digits, or else twelve digits of a hash of the fallback's JSON.
 
     ``with_context`` adds eight digits of that hash to the number too, where numbers recur from bench to bench and year to year.
     """
     plain = F.regexp_replace(F.upper(nonempty(number)), r"[^A-Za-z0-9]", "")
-    digest = F.md5(sorted_json(fallback))
+    digest = F.md5(sorted_json(fallback, numbers))
     if with_context:
         plain = F.concat(plain, F.lit("_"), F.substring(digest, 1, 8))
     return F.concat(F.lit(f"{slug.upper()}_"), F.coalesce(plain, F.substring(digest, 1, 12)))
