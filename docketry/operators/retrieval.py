@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -35,6 +37,38 @@ def bm25(index: DataFrame, n_documents: int, queries: DataFrame, k: int, id: str
     return best(scores, query_id, id, k)
 
 
+@dataclass(frozen=True)
+class Index:
+    """A stored inverted index: postings with their whole weights, partitioned by a hash of the token; queries read the partitions of their tokens."""
+
+    spark: SparkSession
+    path: str
+    id: str
+    buckets: int
+
+    @classmethod
+    def build(cls, documents: DataFrame, path: str, id: str, text: str, buckets: int = 64) -> Index:
+        """Tokenise ``documents`` once and store what queries need; rows with the same id count as one document each time they have a text of its own."""
+        spark = documents.sparkSession
+        staged = f"{path}/postings"
+        postings(documents, id, text).withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)).cast("int")).repartition("bucket", "token").sortWithinPartitions("bucket", "token").write.partitionBy("bucket").parquet(staged)
+        stored = spark.read.parquet(staged)
+        n = documents.count()
+        # how many documents hold a token, once for all queries
+        df = stored.groupBy("bucket", "token").agg(F.count("*").alias("df")).withColumn("idf", F.log1p((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5)))
+        df.repartition("bucket").sortWithinPartitions("bucket", "token").write.partitionBy("bucket").parquet(f"{path}/tokens")
+        return cls(spark, path, id, buckets)
+
+    def search(self, queries: DataFrame, k: int, query_id: str = "query_id", text: str = "query") -> DataFrame:
+        """The best ``k`` documents of each query by BM25; ties go to the smaller id."""
+        asked = queries.select(query_id, F.explode(F.array_distinct(tokens(F.col(text)))).alias("token")).withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(self.buckets)).cast("int"))
+        keys = ["bucket", "token"]  # the first prunes partitions
+        known = self.spark.read.parquet(f"{self.path}/tokens").select(*keys, "idf")
+        stored = self.spark.read.parquet(f"{self.path}/postings")
+        scores = asked.join(known, keys).join(stored, keys).groupBy(query_id, self.id).agg(F.sum(F.col("weight") * F.col("idf")).alias("score"))
+        return best(scores, query_id, self.id, k)
+
+
 def best(scores: DataFrame, query_id: str, id: str, k: int) -> DataFrame:
     order = W.partitionBy(query_id).orderBy(F.desc(F.round("score", 9)), id)
     return scores.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
