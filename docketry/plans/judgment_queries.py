@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import judgments
+from ..operators import graph, metadata
 from ..sources import tribunals
 from .queries import query, table
 
@@ -56,3 +57,65 @@ def tribunal_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     without = records(3, "sat.jsonl", {"petitioner": name})
     whole = tribunals.union([tribunals.normalized(itat, _ITAT), tribunals.normalized(sat.unionByName(without), _SAT), tribunals.normalized(nclt, _NCLT)])
     return whole.select("case_id", "case_number", "court", "decision_date", "year", "petitioner", "respondent", "petitioner_city", "judges", "title", "pdf_url", "source_pdf_url", F.to_json("raw_metadata").alias("raw_metadata"), "is_judgment")
+
+
+@query("""
+WITH t AS (SELECT c_custkey AS k, c_name, c_mktsegment AS seg, c_custkey % 4 AS m, 1990 + c_nationkey AS y FROM customer)
+SELECT k, CASE WHEN m < 2 THEN c_name || ' Vs ' || seg WHEN m = 2 THEN 'Heading ' || k END AS title, CASE WHEN m IN (1, 2) THEN 'Petitioner ' || k WHEN m = 0 THEN c_name END AS petitioner, CASE WHEN m < 2 THEN seg END AS respondent,
+  CASE WHEN m IN (1, 2) THEN [seg, 'B'] WHEN m = 0 THEN ['A'] ELSE NULL END AS judges, CASE WHEN m < 2 THEN y || '-01-01' END AS decision_date,
+  CASE WHEN m < 2 THEN 'registry' WHEN m = 2 THEN 'text' END AS title_from, CASE WHEN m IN (1, 2) THEN 'text' WHEN m = 0 THEN 'title' END AS petitioner_from FROM t""")
+def merged_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as cases: half are in a registry, half have texts, a quarter both."""
+    k, seg = F.col("c_custkey"), F.col("c_mktsegment")
+    cases = table(spark, sf_dir, "customer").withColumn("k", k)
+    registry = cases.filter(k % 4 < 2).select("k", F.concat("c_name", F.lit(" Vs "), seg).alias("title"), F.array(F.lit("A")).alias("judges"), F.concat(1990 + F.col("c_nationkey"), F.lit("-01-01")).alias("decision_date"))
+    text = cases.filter((k % 4).isin(1, 2)).select("k", F.concat(F.lit("Heading "), k).alias("heading"), F.concat(F.lit("Petitioner "), k).alias("petitioner"), F.array(seg, F.lit("B")).alias("judges"))
+    title = registry.select("k", metadata.from_title(F.col("title")).alias("s")).select("k", "s.*")
+    found = metadata.merged(cases.select("k"), {"registry": registry, "text": text, "title": title}, metadata.CASE_RULES, "k")
+    return found.select("k", "title", "petitioner", "respondent", "judges", "decision_date", F.element_at("won", F.lit("title")).alias("title_from"), F.element_at("won", F.lit("petitioner")).alias("petitioner_from"))
+
+
+@query("""
+WITH t AS (SELECT o_orderkey AS k, o_custkey % 3 AS m, o_orderdate AS d, o_orderstatus AS s, year(o_orderdate) AS y FROM orders)
+SELECT 'C' || k AS corpus_case_id, CASE m WHEN 0 THEN 'Kerala High Court' WHEN 1 THEN 'Supreme Court of India' END AS court_normalized, CASE m WHEN 0 THEN 'high_court' WHEN 1 THEN 'supreme_court' END AS court_type,
+  CASE WHEN m = 1 THEN 'AIR ' || y || ' SC ' || k ELSE 'HC-C' || k END AS primary_citation, strftime(d, '%Y-%m-%d') AS decision_date, CASE s WHEN 'F' THEN 'DISPOSED OF' WHEN 'O' THEN 'ALLOWED' END AS disposition_normalized,
+  CASE WHEN m < 2 THEN m + 1 END AS bench_strength, CASE WHEN m = 2 THEN 'T' || k ELSE 'T' || k || ' | P' || k END AS snippet FROM t""")
+def case_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as first chunks of cases of three kinds of courts."""
+    m, key = F.col("o_custkey") % 3, F.col("o_orderkey")
+    payloads = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("C"), key).alias("case_id"), F.concat(F.lit("T"), key).alias("title"), F.when(m == 0, "High Court of Kerala").when(m == 1, "Supreme Court of India").alias("court"), F.lit("").alias("court_type"),
+        F.when(m == 1, F.concat(F.lit("AIR "), F.year("o_orderdate"), F.lit(" SC "), key)).otherwise("").alias("citation"), F.lit(0).alias("bench_strength"), F.when(m == 0, F.array(F.lit("A"))).when(m == 1, F.array(F.lit("A"), F.lit("B"))).alias("judges"),
+        F.when(m == 0, F.date_format("o_orderdate", "dd-MM-yyyy HH:mm:ss")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("decision_date"), F.when(F.col("o_orderstatus") == "F", "Disposed Off").when(F.col("o_orderstatus") == "O", "allowed").otherwise("x").alias("disposition"),
+        F.when(m < 2, F.concat(F.lit("P"), key)).alias("petitioner"), F.lit(None).cast("string").alias("respondent"), F.year("o_orderdate").alias("year"),
+    )
+    return metadata.case_rows(payloads).select("corpus_case_id", "court_normalized", "court_type", "primary_citation", "decision_date", "disposition_normalized", F.col("bench_strength").cast("long").alias("bench_strength"), "snippet")
+
+
+_REPORTED = "CASE o_orderkey % 4 WHEN 0 THEN '(' || year(o_orderdate) || ') ' || (o_custkey % 20 + 1) || ' SCC ' || o_orderkey WHEN 1 THEN 'AIR ' || (year(o_orderdate) + 1) || ' SC ' || o_orderkey END"
+
+
+@query(f"""
+WITH t AS (SELECT o_orderkey AS case_id, {_REPORTED} AS alias FROM orders)
+SELECT case_id, alias, replace(replace(alias, '(', ''), ')', '') AS normalized, CASE WHEN contains(alias, 'SCC') THEN 'SCC' ELSE 'AIR' END AS citation_type FROM t WHERE alias IS NOT NULL""")
+def mined_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two chunks an order; half of them say where the case is reported, some with a report that is too far off first."""
+    key, year, m = F.col("o_orderkey"), F.year("o_orderdate"), F.col("o_orderkey") % 4
+    far = F.concat(F.lit("as reported in ("), year - 5, F.lit(") 1 SCC 1, and "))
+    said = F.when(m == 0, F.concat(far, F.lit("reported in ("), year, F.lit(") "), F.col("o_custkey") % 20 + 1, F.lit(" SCC "), key)).when(m == 1, F.concat(F.lit("Reported as AIR "), year + 1, F.lit(" SC "), key)).otherwise(F.concat(far, "o_orderpriority"))
+    cases = table(spark, sf_dir, "orders").select(key.alias("case_id"), year.alias("year"), F.array(F.concat(F.lit("Head of "), "o_orderpriority"), said).alias("texts"))
+    return graph.mined_aliases(cases.select("case_id", "year", F.posexplode("texts").alias("chunk_index", "text")))
+
+
+@query("""
+WITH cited AS (SELECT DISTINCT o_custkey % 500 AS citing, o_orderkey % 300 AS n FROM orders), nodes AS (SELECT DISTINCT n FROM cited WHERE n < 100)
+SELECT 'node ' || citing AS citing, 'AIR 2001 SC ' || n AS key, n >= 100 AS stub FROM cited WHERE n >= 100 OR citing <> n""")
+def grown_citation_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as citations in two spellings; a third of what they cite is known, the rest become stubs, and none cites itself."""
+    n = F.col("o_orderkey") % 300
+    raw = F.when(F.col("o_custkey") % 2 == 0, F.concat(F.lit("A.I.R. 2001 SC "), n)).otherwise(F.concat(F.lit("air  2001 sc "), n))
+    cited = table(spark, sf_dir, "orders").select(F.concat(F.lit("node "), F.col("o_custkey") % 500).alias("citing"), raw.alias("raw"))
+    known = table(spark, sf_dir, "orders").select(n.alias("n")).filter("n < 100").distinct().select(F.concat(F.lit("node "), "n").alias("id"), F.concat(F.lit("AIR 2001 SC "), "n").alias("key"))
+    stubs, edges = graph.grown(cited, known, spark.createDataFrame([], "citing string, cited string"))
+    nodes = known.withColumn("stub", F.lit(False)).unionByName(stubs.select("id", "key", F.lit(True).alias("stub")))
+    return edges.join(nodes, F.col("cited") == F.col("id")).select("citing", "key", "stub")
