@@ -31,10 +31,6 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def values(spark: SparkSession, rows: str, columns: str) -> DataFrame:
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({columns})")
-
-
 def _english(column: str) -> str:
     words = ", ".join(f"'{w}'" for w in classify.ENGLISH_WORDS)
     return f"len(list_filter({column}, lambda w: list_contains([{words}], regexp_replace(w, '^[.,;:()\"'']+|[.,;:()\"'']+$', '', 'g'))))"
@@ -226,14 +222,13 @@ def net_of_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH b AS (SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '-') AS full_key, trim(regexp_replace(lower(p_type), '[^a-z0-9]+', '-', 'g'), '-') AS type_key FROM part WHERE p_partkey % 3 = 0),
+WITH b AS (SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '-') AS full_key, trim(regexp_replace(lower(p_type), '[^a-z0-9]+', '-', 'g'), '-') AS type_key FROM part),
 f AS (SELECT full_key AS k, min(p_partkey) AS m FROM b GROUP BY 1), t AS (SELECT type_key AS k, min(p_partkey) AS m FROM b GROUP BY 1)
 SELECT p.p_partkey AS id, coalesce(f.m, t.m) AS match, CASE WHEN f.m IS NOT NULL THEN 'exact' WHEN t.m IS NOT NULL THEN 'type' END AS strategy
 FROM part p LEFT JOIN f ON trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '-') = f.k LEFT JOIN t ON trim(regexp_replace(lower(p_type), '[^a-z0-9]+', '-', 'g'), '-') = t.k""")
 def cascade_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
-    # the key rule makes the second collection; it isn't a sample of the first
-    right = part.filter("p_partkey % 3 = 0").select("p_partkey", F.col("p_name").alias("r_name"), F.col("p_type").alias("r_type"))
+    right = part.select("p_partkey", F.col("p_name").alias("r_name"), F.col("p_type").alias("r_type"))
     left = part.select(F.col("p_partkey").alias("id"), "p_name", "p_type")
     matched = joins.cascade(left, right, [("exact", text.slug(F.col("p_name")), text.slug(F.col("r_name"))), ("type", text.slug(F.col("p_type")), text.slug(F.col("r_type")))], "p_partkey")
     return matched.select("id", "match", "strategy")
@@ -535,12 +530,24 @@ def document_section_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed.withColumns({"priority": classify.section_priority(kind), "important": classify.is_important(kind)})
 
 
-@query()
+# documents' whole texts, each with two citations at its end, of which SQL knows what they are
+_CITED = "SELECT doc_id, 1950 + doc_id % 70 AS y, doc_id % 900 + 1 AS n, doc_id % 9 + 1 AS v FROM documents"
+
+
+def _cited_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("doc_id")
+    y, n, v = ((x).cast("string") for x in (1950 + key % 70, key % 900 + 1, key % 9 + 1))
+    said = F.concat(F.lit("\nSee A.I.R. and AIR "), y, F.lit(" SC "), n, F.lit(" and ("), y, F.lit(") "), v, F.lit(" SCC "), n, F.lit("."))
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(F.coalesce("text", F.lit("")), said).alias("text"))
+
+
+@query(f"SELECT doc_id, unnest(['air', 'scc_parenthetical']) AS reporter, unnest(['AIR ' || y || ' SC ' || n, '(' || y || ') ' || v || ' SCC ' || n]) AS raw FROM ({_CITED})")
 def document_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.explode_outer(extract.citations(F.col("text"))).alias("c")).filter("c is not null").select("doc_id", "c.*")
+    return _cited_documents(spark, sf_dir).select("doc_id", F.explode_outer(extract.citations(F.col("text"))).alias("c")).filter("c is not null").select("doc_id", "c.*")
 
 
-@query()
+@query(f"""SELECT doc_id, unnest(['AIR ' || y || ' SC ' || n, '(' || y || ') ' || v || ' SCC ' || n]) AS raw, unnest(['AIR ' || y || ' SC ' || n, y || ' ' || v || ' SCC ' || n]) AS alias_key,
+  unnest(['AIR ' || y || ' SC ' || n, '(' || y || ') ' || v || ' SCC ' || n]) AS graph_key, unnest(['AIR', 'SCC']) AS type FROM ({_CITED})""")
 def document_citation_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.col("raw")
     return document_citations(spark, sf_dir).select("doc_id", "raw", extract.alias_key(raw).alias("alias_key"), extract.graph_key(raw).alias("graph_key"), extract.citation_type(raw).alias("type"))
@@ -552,9 +559,16 @@ def document_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "m.decision_date", "m.case_type", "m.case_number", "m.jurisdiction", "m.bench_type", "m.disposal_status")
 
 
-@query()
+@query("""
+WITH t AS (SELECT doc_id, length(replace(coalesce(text, ''), chr(10), ' ')) AS n, doc_id % 40 + 1 AS s FROM documents), p AS (SELECT *, length('1. Head ') + n + 1 AS s1, length(s::VARCHAR) AS w FROM t)
+SELECT doc_id, unnest(['section', 'chapter_heading', 'section']) AS type, unnest(['1', 'IV', s || 'A']) AS number, unnest([80, 40, 80])::INT AS priority, unnest([0, s1, s1 + 11])::INT AS char_start, unnest([s1, s1 + 11, s1 + 11 + w + 7])::INT AS char_end,
+  unnest([NULL, 'IV', 'IV']) AS chapter, NULL::VARCHAR AS part FROM p""")
 def document_provisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.provisions(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    """Documents' whole texts as the first section of an act, on one line, and a chapter with another behind it."""
+    line = F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(" "))
+    acts = F.concat(F.lit("1. Head "), line, F.lit("\nCHAPTER IV\n"), (F.col("doc_id") % 40 + 1).cast("string"), F.lit("A. Last"))
+    found = chunking.provisions(table(spark, sf_dir, "documents").select("doc_id", acts.alias("text")), "doc_id")
+    return found.select("doc_id", "type", "number", "priority", F.col("char_start").cast("int").alias("char_start"), F.col("char_end").cast("int").alias("char_end"), "chapter", "part")
 
 
 @query()
@@ -562,9 +576,13 @@ def document_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", extract.parties(F.col("text")).alias("p")).select("doc_id", F.md5("p.petitioner").alias("petitioner_md5"), F.md5("p.respondent").alias("respondent_md5"))
 
 
-@query()
+@query("""
+SELECT CASE doc_id % 3 WHEN 0 THEN 'DISPOSED OF' WHEN 1 THEN 'DISMISSED AS INFRUCTUOUS' END AS disposition, count(*) AS n FROM documents GROUP BY 1""")
 def document_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.facet(table(spark, sf_dir, "documents").select(judgments.disposition(F.col("text")).alias("disposition")), "disposition")
+    """Each document's disposition in a clerk's words, with its source behind it; a third say nothing."""
+    key = F.col("doc_id") % 3
+    raw = F.when(key == 0, F.concat(F.lit("Disposed off, "), F.substring("source", 1, 20))).when(key == 1, F.concat(F.lit("dismised as infractuous "), F.substring("source", 1, 20))).otherwise("12-3 internal")
+    return audit.facet(table(spark, sf_dir, "documents").select(judgments.disposition(raw).alias("disposition")), "disposition")
 
 
 @query()
