@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import legislation
 from ..operators import footnotes, matches, provisions
 from .queries import query, table
 
@@ -115,3 +116,24 @@ def spans_of_characters(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = turns.withColumn("index", matches.span_index(F.col("spans")))
     hit = F.filter("index", lambda s: F.array_contains(F.transform(matches.spans_between(F.col("index"), F.lit(40), F.lit(120)), lambda x: x["turn"]), s["span"]["turn"]))
     return index.select("conv_id", F.explode(hit).alias("s")).select("conv_id", "s.span.turn", F.col("s.begin").cast("long").alias("begin"), F.col("s.end").cast("long").alias("end"))
+
+
+@query("""
+WITH t AS (SELECT p_partkey, p_brand, upper(p_name[1]) || p_name[2:] AS name, p_size, 1950 + p_partkey % 60 AS y, p_partkey % 90 + 1 AS no FROM part)
+SELECT p_partkey, 'the State of Kerala' AS territorial_extent, '1-' || (p_size % 12 + 1) || '-' || y AS commencement, no::VARCHAR AS act_number, y::INT AS act_year, 'Home Affairs' AS ministry,
+  'An Act to make ' || p_brand || '.' AS long_title, ['Indian Evidence Act, ' || y, 'Old Water Act ' || (y - 10)] AS acts_referenced, ['Old Water Act ' || (y - 10)] AS repeals, ['Ins. by Act ' || no || ' of ' || y || ', s. ' || p_size] AS amendment_notes,
+  ['board', lower(p_brand)] AS defined_terms, ['30 days', p_size || ' years'] AS limitation_periods FROM t""")
+def act_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Acts of parts that say what they are, where and when they hold, what they refer to, change and repeal."""
+    no, year, size = (x.cast("string") for x in (F.col("p_partkey") % 90 + 1, 1950 + F.col("p_partkey") % 60, F.col("p_size")))
+    text = F.concat(
+        F.lit("ACT NO. "), no, F.lit(" OF "), year, F.lit("\nAn Act to make "), "p_brand", F.lit(".\nMinistry of Home Affairs, Delhi\n1. It extends to the State of Kerala. It shall come into force on 1-"), F.col("p_size") % 12 + 1, F.lit("-"), year,
+        F.lit(".\n2. See the Indian Evidence Act, "), year, F.lit(" [Ins. by Act "), no, F.lit(" of "), year, F.lit(", s. "), size, F.lit("]; this repeals the Old Water Act "), (1940 + F.col("p_partkey") % 60).cast("string"),
+        F.lit('. "Board" means one, "'), "p_brand", F.lit('" means another, within a period of 30 days or within '), size, F.lit(" years"),
+    )
+    texts = table(spark, sf_dir, "part").select("p_partkey", text.alias("t"))
+    m = texts.select("p_partkey", legislation.act_metadata(F.col("t")).alias("m"), legislation.section_metadata(F.col("t"), F.lit("definitions"), F.lit("2")).alias("s"))
+    return m.select(
+        "p_partkey", *(F.col("m")[c].alias(c) for c in ("territorial_extent", "commencement", "act_number", "act_year")), F.col("m.enacting.ministry").alias("ministry"), F.col("m.enacting.long_title").alias("long_title"),
+        *(F.col("m")[c].alias(c) for c in ("acts_referenced", "repeals", "amendment_notes")), F.col("s.defined_terms").alias("defined_terms"), F.col("s.limitation_periods").alias("limitation_periods"),
+    )
