@@ -18,8 +18,8 @@ VOCABULARY = "word_bpe_49k.json"
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't call toxic; it learns from the labels of the training fold.
 
-    Null and empty texts are scored like any other; repeated rows are scored alike and go or stay
-    together, a null id too.  Without labels of both classes nothing is called toxic.
+    Null and empty texts and null ids are scored like any other; repeated rows are scored alike and go
+    or stay together.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.classify(docs, labels).filter("predicted = 0").select(docs.columns)
@@ -29,7 +29,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Texts without lines that an earlier line duplicates; a document of which nothing is left was a copy, and goes.
 
     Null and empty texts have no lines to drop and stay as they are.  Lines are earlier by document
-    id, then place; of repeated rows the first keeps its lines.
+    id, then place; repeated rows stand in the same place and keep the same lines.
     """
     cleaned = lines.dedup_lines(docs).filter("n_dropped = 0 or trim(text) <> ''")
     return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
