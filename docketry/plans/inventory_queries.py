@@ -252,12 +252,14 @@ def court_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", naming.court_code(code).alias("c")).select("c_custkey", "c.*")
 
 
-_SLUGS = ["calcutta_appellate_side", "jammuhc", "circuit_bench_AT_x", "patnahcucisdb94_1"]
-
-
-@query(f"SELECT c_custkey, {sql_pick('c_custkey', ['Appellate Side', 'Jammu Wing', 'Circuit Bench At X', 'Bench (patnahcucisdb94_1)'])} AS bench FROM customer")
+@query("""
+WITH t AS (SELECT p_partkey, p_partkey % 4 AS k, replace(p_name, ' ', '_') AS slug, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS words FROM part)
+SELECT p_partkey, CASE k WHEN 0 THEN words WHEN 1 THEN words WHEN 2 THEN 'Bench (' || replace(slug, '_', '') || ')' ELSE 'Wing of ' || p_partkey % 8 END AS bench FROM t""")
 def bench_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select("c_custkey", naming.bench_name(pick(F.col("c_custkey"), _SLUGS), {"jammuhc": "Jammu Wing"}).alias("bench"))
+    """Slugs of parts' names with a court before them, without one, and in one word; and some that are listed."""
+    key, name = F.col("p_partkey"), F.col("p_name")
+    slug = F.when(key % 4 == 0, F.concat(F.lit("calcutta_"), F.replace(name, F.lit(" "), F.lit("_")))).when(key % 4 == 1, F.upper(F.replace(name, F.lit(" "), F.lit("_")))).when(key % 4 == 2, F.replace(name, F.lit(" "), F.lit(""))).otherwise(F.concat(F.lit("wing"), key % 8))
+    return table(spark, sf_dir, "part").select("p_partkey", naming.bench_name(slug, {f"wing{k}": f"Wing of {k}" for k in range(8)}).alias("bench"))
 
 
 @query("""
@@ -267,24 +269,33 @@ def ids_and_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", naming.is_supreme_id(case_id).alias("supreme"), naming.act_status(pick(F.col("p_size"), ["Repealed", "SPENT", "central", None])).alias("status"))
 
 
-_TITLES = ["Short title, extent", "Definitions", "Interpretation clause", "Amendment of Act 5", "First Schedule", "Preamble", "Penalty", None]
+_TITLES = ["Short title of ", "Extent, ", "Definitions of ", "Interpretation: ", "Amendment of the Act on ", "First Schedule, ", "Preamble to ", "Penalty for "]
 
 
 @query(f"""
-WITH t AS (SELECT p_partkey, p_partkey % 2 = 1 AS one, p_partkey % 8 AS k FROM part)
-SELECT p_partkey, CASE WHEN k = 0 AND one THEN 'short_title' WHEN k IN (1, 2) THEN 'definitions' WHEN k = 3 THEN 'amendment_provision' ELSE 'section' END AS section_class,
-  CASE WHEN k = 0 AND one THEN 'short_title' WHEN k IN (1, 2) THEN 'definitions' WHEN k = 4 THEN 'schedule' WHEN k = 5 THEN 'preamble' ELSE 'section' END AS html_class FROM t""")
+WITH t AS (SELECT p_partkey, (p_partkey % 2)::VARCHAR AS number, lower({sql_pick("p_partkey", _TITLES)} || p_name) AS title FROM part)
+SELECT p_partkey, CASE WHEN number = '1' AND (contains(title, 'short title') OR contains(title, 'extent')) THEN 'short_title' WHEN contains(title, 'definition') OR contains(title, 'interpretation') THEN 'definitions'
+    WHEN contains(title, 'amendment') AND contains(title, 'act') THEN 'amendment_provision' ELSE 'section' END AS section_class,
+  CASE WHEN number = '1' AND (contains(title, 'short title') OR contains(title, 'extent')) THEN 'short_title' WHEN contains(title, 'definition') OR contains(title, 'interpretation') THEN 'definitions'
+    WHEN contains(title, 'schedule') THEN 'schedule' WHEN contains(title, 'preamble') THEN 'preamble' ELSE 'section' END AS html_class FROM t""")
 def section_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number, title = (F.col("p_partkey") % 2).cast("string"), pick(F.col("p_partkey"), _TITLES)
+    """Titles of sections with parts' names in them; SQL reads the same titles."""
+    number, title = (F.col("p_partkey") % 2).cast("string"), F.concat(pick(F.col("p_partkey"), _TITLES), "p_name")
     return table(spark, sf_dir, "part").select("p_partkey", naming.section_class(number, title).alias("section_class"), naming.section_class(number, title, html=True).alias("html_class"))
 
 
-_ROMAN = {"I": True, "IV": True, "XLII": True, "XCIX": True, "C": True, "CI": False, "D": False, "ABC": False, "": False, "iv": False, "LXXXVIII": False, "IIII": True}
+_TENS, _ONES = ["", "X", "XX", "XXX", "XL", "L", "LX", "LXX", "LXXX", "XC"], ["", "I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX"]
 
 
-@query(f"SELECT p_partkey, {sql_pick('p_partkey', list(map(str, _ROMAN.values())))} = 'True' AS roman FROM part")
+@query(f"""
+WITH t AS (SELECT p_partkey, p_partkey % 150 + 1 AS n FROM part), r AS (SELECT *, CASE WHEN n >= 100 THEN 'C' ELSE '' END || {sql_pick("n % 100 // 10", _TENS)} || {sql_pick("n", _ONES)} AS numeral FROM t)
+SELECT p_partkey, n <= 100 AND length(numeral) <= 6 AS roman, n <= 100 AND length(numeral) <= 6 AND p_partkey % 7 <> 0 AS marked FROM r""")
 def roman_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select("p_partkey", naming.is_roman(pick(F.col("p_partkey"), list(_ROMAN))).alias("roman"))
+    """Numerals of 1 to 150, of which those to 100 count unless they are long; one in seven with a letter too many."""
+    n = F.col("p_partkey") % 150 + 1
+    numeral = F.concat(F.when(n >= 100, "C").otherwise(""), pick(F.floor(n % 100 / 10), _TENS), pick(n, _ONES))
+    marked = F.concat(numeral, F.when(F.col("p_partkey") % 7 == 0, "H").otherwise(""))
+    return table(spark, sf_dir, "part").select("p_partkey", naming.is_roman(numeral).alias("roman"), naming.is_roman(marked).alias("marked"))
 
 
 _TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
