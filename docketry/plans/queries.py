@@ -31,8 +31,13 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+# what SQL expects, written down apart from the operators' own lists
+_ENGLISH = "the of and to in a is that for it was on are as with his they be at one have this from or had by not but what all were when we there can an your which their said if do will each about how up out them shall court case order section act petition respondent appellant petitioner applicant state"
+_STOPWORDS = "a an and are as at be but by for if in into is it no not of on or such that the their then there these they this to was will with"
+
+
 def _english(column: str) -> str:
-    words = ", ".join(f"'{w}'" for w in classify.ENGLISH_WORDS)
+    words = ", ".join(f"'{w}'" for w in _ENGLISH.split())
     return f"len(list_filter({column}, lambda w: list_contains([{words}], regexp_replace(w, '^[.,;:()\"'']+|[.,;:()\"'']+$', '', 'g'))))"
 
 
@@ -349,7 +354,7 @@ _SECTION_TYPES = list(_SECTIONS.values())
 
 
 @query(f"""
-WITH t AS (SELECT p_partkey, {sql_pick("p_partkey", _SECTION_TYPES)} AS section_type, {sql_pick("p_partkey", [classify.SECTION_PRIORITIES[t] for t in _SECTION_TYPES])} AS priority FROM part)
+WITH t AS (SELECT p_partkey, {sql_pick("p_partkey", _SECTION_TYPES)} AS section_type, {sql_pick("p_partkey", [100, 75, 80, 90, 65, 70, 85, 95, 35, 30, 40, 60, 55, 50, 45])} AS priority FROM part)
 SELECT p_partkey, section_type, priority, priority >= 70 AS important FROM t""")
 def section_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A part's text opens with a heading and goes on with its name."""
@@ -613,7 +618,7 @@ def customer_court_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.withColumn("slug", judgments.court_slug(F.col("court")))
 
 
-_TOKENS = f"list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'), lambda t: NOT list_contains([{', '.join(repr(w) for w in retrieval.STOPWORDS)}], t) AND length(t) <= 40)"
+_TOKENS = f"list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'), lambda t: NOT list_contains([{', '.join(repr(w) for w in _STOPWORDS.split())}], t) AND length(t) <= 40)"
 _BM25 = f"""d AS (SELECT doc_id, {_TOKENS} AS t FROM documents), tf AS (SELECT doc_id, len(t) AS len, unnest(t) AS token FROM d),
 c AS (SELECT doc_id, token, len, count(*) AS tf FROM tf GROUP BY ALL), q AS (SELECT item_id, unnest(list_distinct({_TOKENS})) AS token FROM benchmark),
 df AS (SELECT token, count(*) AS df FROM c GROUP BY 1), n AS (SELECT count(*) AS n FROM documents),
