@@ -81,7 +81,7 @@ def html_to_text(markup: Column) -> Column:
         (r"(?i)<br\s*/?>", "\n"),
         (r"(?i)<hr\s*/?>", "\n\n"),
         (r"(?is)<sup[^>]*>\s*(\d+)\s*</sup>", "[$1]"),
-        (r"(?is)<span[^>]*margin[^>]*>.*?</span>", ""),
+        (r"(?i)<span\s+style=\"margin-left:\d+px;\">\s*</span>", ""),  # indentation alone; what else stands in spans stays
         (r"<[^>]+>", ""),
     ]
     for pattern, replacement in steps:
@@ -92,6 +92,21 @@ def html_to_text(markup: Column) -> Column:
     return F.trim(text)
 
 
+def footnote_to_text(markup: Column) -> Column:
+    """Text of a footnote's HTML: line breaks and rules as newlines, no tags, no blanks at line ends; empty for null."""
+    text = F.regexp_replace(F.regexp_replace(F.coalesce(markup, F.lit("")), r"(?i)<[bh]r\s*/?>", "\n"), r"<[^>]+>", "")
+    return strip(F.regexp_replace(F.regexp_replace(unescape(text), r"\r\n?", "\n"), r"(?m)[ \t]+$", ""))
+
+
+def section_to_text(number: Column, label: Column, content: Column, footnote: Column) -> Column:
+    """Text of an act's section in HTML: its number and label, its content, and its footnotes under a mark of their own; empty if there is nothing."""
+    n, name = F.trim(F.coalesce(number, F.lit(""))), F.trim(F.coalesce(label, F.lit("")))
+    header = F.when((n != "") & (name != ""), F.concat(n, F.lit(". "), name)).when(n != "", F.concat(n, F.lit("."))).otherwise(name)
+    notes = footnote_to_text(footnote)
+    parts = [F.nullif(x, F.lit("")) for x in (header, strip(html_to_text(F.coalesce(content, F.lit("")))))]
+    return F.concat_ws("\n", *parts, F.concat(F.lit("\n[Footnotes]\n"), F.nullif(notes, F.lit(""))))
+
+
 def normalize_characters(text: Column) -> Column:
     """Normal form C, typographic characters replaced, control characters dropped."""
     out = nfc(text)

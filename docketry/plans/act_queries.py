@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import legislation
 from ..operators import footnotes, matches, provisions
+from ..sources import paged
 from .queries import query, table
 
 _NOTES = "n AS (SELECT p_partkey, p_name, p_brand, p_type, p_size AS a, p_size + 7 AS b, p_partkey % 90 + 1 AS no, 1950 + p_partkey % 60 AS y, p_partkey % 2 = 1 AS odd FROM part)"
@@ -137,3 +138,19 @@ def act_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey", *(F.col("m")[c].alias(c) for c in ("territorial_extent", "commencement", "act_number", "act_year")), F.col("m.enacting.ministry").alias("ministry"), F.col("m.enacting.long_title").alias("long_title"),
         *(F.col("m")[c].alias(c) for c in ("acts_referenced", "repeals", "amendment_notes")), F.col("s.defined_terms").alias("defined_terms"), F.col("s.limitation_periods").alias("limitation_periods"),
     )
+
+
+@query("""
+WITH t AS (SELECT p_partkey // 4 AS handle, p_partkey AS k, p_partkey % 4 AS m, p_brand, p_name, p_size FROM part),
+x AS (SELECT handle, k, CASE m WHEN 0 THEN p_size || '. ' || p_brand WHEN 1 THEN p_size || '.' WHEN 2 THEN p_brand ELSE '' END AS head, CASE WHEN m < 3 THEN p_name || ' & more' || chr(10) || 'line[' || p_size || ']' ELSE '' END AS body, CASE WHEN m < 2 THEN chr(10) || '[Footnotes]' || chr(10) || p_size || '. Subs. by ' || p_brand ELSE '' END AS notes FROM t),
+s AS (SELECT handle, k, array_to_string(list_filter([head, body, notes], lambda p: p <> ''), chr(10)) AS text FROM x)
+SELECT handle::VARCHAR AS handle, count(*) AS sections, md5(string_agg(text, chr(10) || chr(10) ORDER BY k)) AS text_md5 FROM s WHERE text <> '' GROUP BY 1""")
+def act_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four parts make an act of HTML sections, the last of them empty."""
+    m, size = F.col("p_partkey") % 4, F.col("p_size").cast("string")
+    content = F.concat(F.lit("<p>"), "p_name", F.lit(" &amp; more<br/>line<sup>"), size, F.lit("</sup>  </p>"))
+    sections = table(spark, sf_dir, "part").select(
+        F.floor(F.col("p_partkey") / 4).cast("string").alias("handle"), F.col("p_partkey").alias("order"), F.when(m < 2, size).alias("section_no"), F.when((m == 0) | (m == 2), F.col("p_brand")).otherwise("").alias("label"),
+        F.when(m < 3, content).alias("content"), F.when(m < 2, F.concat(size, F.lit(". Subs. by <i>"), "p_brand", F.lit("</i><br>"))).otherwise("<hr/>").alias("footnote"),
+    )
+    return paged.act_texts(sections).select("handle", "sections", F.md5("text").alias("text_md5"))

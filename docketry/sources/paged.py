@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from ..functions.text import section_to_text
+
 #: Rows of a page.
 PAGE = 1000
 
@@ -120,3 +122,10 @@ def act_sections(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.schema(SECTIONS + ", _bad string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
     rows = files.select("handle", (F.col("sectionCount") == F.size("sections")).alias("complete"), F.posexplode("sections").alias("order", "s"))
     return rows.select("handle", "order", F.col("s.sectionNo").alias("section_no"), F.col("s.label").alias("label"), F.col("s.content").alias("content"), F.col("s.footnote").alias("footnote"), F.col("s.sectionId").alias("section_id"), "complete")
+
+
+def act_texts(sections: DataFrame) -> DataFrame:
+    """One text per act (handle) of its sections in order, each with its heading and footnotes, parted by a blank line; sections without any text are left out."""
+    rows = sections.withColumn("text", section_to_text(F.col("section_no"), F.col("label"), F.col("content"), F.col("footnote"))).filter("text <> ''")
+    ordered = F.array_sort(F.collect_list(F.struct("order", "text")))
+    return rows.groupBy("handle").agg(F.count("*").alias("sections"), F.array_join(F.transform(ordered, lambda x: x["text"]), "\n\n").alias("text"))

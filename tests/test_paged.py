@@ -56,3 +56,15 @@ def test_sections_of_acts(spark, tmp_path):
     (tmp_path / "d.json").write_text(json.dumps({"handle": "h/3", "sectionCount": 0, "sections": []}))
     rows = paged.act_sections(spark, str(tmp_path)).orderBy("handle", "order").collect()
     assert [(r.handle, r.order, r.section_no, r.label, r.complete) for r in rows] == [("h/1", 0, "1", "Short title", True), ("h/1", 1, "2", "Short title", True), ("h/2", 0, "1", "Short title", False)]
+
+
+def test_texts_of_sections_in_html(spark):
+    rows = [
+        ("h", 1, "2", "Powers ", "<p>One&amp;two<br/>three<sup>1</sup> </p><hr><span style=\"margin-left:20px;\"> </span><span style=\"margin-left:5px;\">kept</span>", "1. Subs. by <i>Act</i> 5 <br>2. x &lt; y  \r\n"),
+        ("h", 0, "1", None, "", None),
+        ("h", 2, None, "", None, ""),
+        ("h", 3, "", "Label", None, "<p> </p>"),
+    ]
+    sections = spark.createDataFrame(rows, "handle string, order int, section_no string, label string, content string, footnote string")
+    (act,) = paged.act_texts(sections).collect()
+    assert (act.sections, act.text) == (3, "1.\n\n2. Powers\nOne&two\nthree[1]\n\nkept\n\n[Footnotes]\n1. Subs. by Act 5\n2. x < y\n\nLabel")
