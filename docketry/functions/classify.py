@@ -268,3 +268,20 @@ def document_class(text: Column) -> Column:
         .when(n < 4000, "short order")
         .otherwise("substantive decision")
     )
+
+
+# Older section types by words of a chunk's first line, tried in this order, and marks of legacy fonts in fonts' names.
+OLDER_TYPES = [("JUDGMENT|ORDER", "judgment"), ("FACT|BACKGROUND", "facts"), ("CONCLUSION|HELD", "conclusion"), ("ISSUE|QUESTION", "issues")]
+LEGACY_FONTS = ["Asees", "Akhar", "AnmolLipi"]
+
+
+def older_section_type(text: Column) -> Column:
+    """The type of a chunk by its first line that isn't blank, as older collections have it; body where that says nothing."""
+    line = F.upper(F.regexp_extract(F.coalesce(text, F.lit("")), r"^\s*([^\n]*)", 1))
+    return first_match(line, OLDER_TYPES, F.lit("body"))
+
+
+def legacy_fonts(fonts: Column) -> Column:
+    """The different names among ``fonts`` that mark a legacy font, sorted; empty without any."""
+    marked = F.filter(fonts, lambda f: F.coalesce(_any(f, LEGACY_FONTS), F.lit(False)))
+    return F.coalesce(F.array_sort(F.array_distinct(marked)), F.array().cast("array<string>"))

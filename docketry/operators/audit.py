@@ -142,3 +142,13 @@ def tagged_union(tables: dict[str, DataFrame], columns: Sequence[str]) -> DataFr
         part = table.select(F.lit(tag).alias("tag"), *(F.col(c) if c in table.columns else F.lit(None).alias(c) for c in columns))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
+
+
+def distribution(rows: DataFrame, field: str, unknown: str = "unknown") -> DataFrame:
+    """How many rows have each value of a field, nulls as ``unknown``, with their share in percent; by falling count in the report's order, ``place``."""
+    counts = rows.groupBy(F.coalesce(F.col(field).cast("string"), F.lit(unknown)).alias(field)).agg(F.count("*").alias("n"))
+    whole = counts.agg(F.sum("n").alias("_all"))
+    found = counts.crossJoin(F.broadcast(whole))  # one row
+    # a row per value: the report's order needs them together
+    place = F.row_number().over(W.orderBy(F.desc("n"), field))
+    return found.select(field, "n", F.round(F.col("n") * 100 / F.col("_all"), 2).alias("share"), place.alias("place"))

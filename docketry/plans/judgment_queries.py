@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import judgments
-from ..operators import graph, metadata
-from ..sources import tribunals
+from ..functions import classify, judgments
+from ..operators import audit, graph, metadata
+from ..sources import sinks, tribunals
 from .queries import query, table
 
 
@@ -119,3 +119,30 @@ def grown_citation_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     stubs, edges = graph.grown(cited, known, spark.createDataFrame([], "citing string, cited string"))
     nodes = known.withColumn("stub", F.lit(False)).unionByName(stubs.select("id", "key", F.lit(True).alias("stub")))
     return edges.join(nodes, F.col("cited") == F.col("id")).select("citing", "key", "stub")
+
+
+@query("""
+WITH t AS (SELECT conv_id, turn, CASE turn % 5 WHEN 0 THEN 'judgment' WHEN 1 THEN 'facts' WHEN 2 THEN 'conclusion' WHEN 3 THEN 'issues' ELSE 'body' END AS section_type FROM conversations), c AS (SELECT section_type, count(*) AS n FROM t GROUP BY 1)
+SELECT section_type, n, round(n * 100 / sum(n) OVER (), 2) AS share, row_number() OVER (ORDER BY n DESC, section_type)::INT AS place FROM c""")
+def older_section_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of conversations as chunks, with a first line that tells their type and whole texts behind it."""
+    turn = F.col("turn") % 5
+    line = F.when(turn == 0, "  \nFinal Order").when(turn == 1, "The background").when(turn == 2, "It is held").when(turn == 3, "Question no. 1").otherwise("x")
+    chunks = table(spark, sf_dir, "conversations").select(classify.older_section_type(F.concat(line, F.lit("\n"), F.coalesce("text", F.lit("")))).alias("section_type"))
+    return audit.distribution(chunks, "section_type")
+
+
+@query("""
+SELECT 'k' || o_orderkey AS cnr, CASE o_custkey % 3 WHEN 0 THEN 'Court ' || o_custkey % 6 WHEN 1 THEN o_orderpriority ELSE 'Unknown' END AS court_name, 'c' || o_custkey % 6 AS court_code, strftime(o_orderdate, '%Y-%m-%d') AS decision_date, year(o_orderdate)::INT AS decision_year,
+  CASE WHEN o_custkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS date_of_registration, o_orderstatus = 'F' AS pdf_exists, length(left(repeat(o_orderpriority, 150), 1000))::INT AS kept, '' AS judge FROM orders""")
+def registry_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as rows of a registry with long markup."""
+    court = F.col("o_custkey") % 3
+    none = F.lit(None).cast("string")
+    rows = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("k"), "o_orderkey").alias("cnr"), none.alias("title"), F.concat(F.lit("c"), F.col("o_custkey") % 6).alias("court_code"), F.when(court == 1, F.col("o_orderpriority")).alias("court"), F.col("o_orderdate").alias("decision_date"),
+        F.when(F.col("o_custkey") % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm")).alias("date_of_registration"), *(none.alias(c) for c in ("judge", "disposal_nature", "description", "pdf_link")),
+        (F.col("o_orderstatus") == "F").alias("pdf_exists"), F.repeat("o_orderpriority", 150).alias("raw_html"),
+    )
+    out = sinks.registry_json(rows, {"c0": "Court 0", "c3": "Court 3"})
+    return out.select("cnr", "court_name", "court_code", "decision_date", "decision_year", "date_of_registration", "pdf_exists", F.length("raw_html").alias("kept"), "judge")

@@ -115,3 +115,26 @@ def validated(chunks: DataFrame, wanted: DataFrame, document: str, required: Seq
     chunks.join(bad, document, "left_semi").write.mode("append").parquet(quarantine)
     valid = chunks.join(bad, document, "left_anti")
     return valid, wanted.join(valid.select(document).distinct(), document, "left_anti")
+
+
+# Characters of raw markup that an export keeps, and of dates.
+MARKUP, DATE = 1000, 10
+
+
+def registry_json(registry: DataFrame, courts: dict[str, str], path: str | None = None) -> DataFrame:
+    """Registry rows as an export has them, and, with a path, written as JSON lines.
+
+    Courts are named by code, or else by what the row says, or Unknown; dates keep their day;
+    raw markup is cut; texts that are absent are empty, dates and markup null.
+    """
+    names = F.create_map(*(F.lit(x) for pair in courts.items() for x in pair))
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("cnr", "title", "court_code", "judge", "disposal_nature", "description", "pdf_link")}
+    day = F.substring(F.col("decision_date").cast("string"), 1, DATE)
+    out = registry.select(
+        text["cnr"], text["title"], F.coalesce(F.try_element_at(names, F.col("court_code")), F.col("court"), F.lit("Unknown")).alias("court_name"), text["court_code"], day.alias("decision_date"), F.substring(day, 1, 4).try_cast("int").alias("decision_year"),
+        F.substring(F.col("date_of_registration").cast("string"), 1, DATE).alias("date_of_registration"), text["judge"], text["disposal_nature"], text["description"], text["pdf_link"], F.coalesce(F.col("pdf_exists").cast("boolean"), F.lit(False)).alias("pdf_exists"),
+        F.substring("raw_html", 1, MARKUP).alias("raw_html"),
+    )
+    if path:
+        out.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
+    return out
