@@ -547,15 +547,33 @@ def _cited_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"SELECT doc_id, unnest(['air', 'scc_parenthetical']) AS reporter, unnest(['AIR ' || y || ' SC ' || n, '(' || y || ') ' || v || ' SCC ' || n]) AS raw FROM ({_CITED})")
-def document_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cited_documents(spark, sf_dir).select("doc_id", F.explode_outer(extract.citations(F.col("text"))).alias("c")).filter("c is not null").select("doc_id", "c.*")
+def cited_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _citations(_cited_documents(spark, sf_dir))
 
 
 @query(f"""SELECT doc_id, unnest(['AIR ' || y || ' SC ' || n, '(' || y || ') ' || v || ' SCC ' || n]) AS raw, unnest(['AIR ' || y || ' SC ' || n, y || ' ' || v || ' SCC ' || n]) AS alias_key,
   unnest(['AIR ' || y || ' SC ' || n, '(' || y || ') ' || v || ' SCC ' || n]) AS graph_key, unnest(['AIR', 'SCC']) AS type FROM ({_CITED})""")
+def cited_document_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _keys(cited_documents(spark, sf_dir))
+
+
+@query()
+def document_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _citations(table(spark, sf_dir, "documents"))
+
+
+@query()
 def document_citation_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _keys(document_citations(spark, sf_dir))
+
+
+def _citations(documents: DataFrame) -> DataFrame:
+    return documents.select("doc_id", F.explode_outer(extract.citations(F.col("text"))).alias("c")).filter("c is not null").select("doc_id", "c.*")
+
+
+def _keys(found: DataFrame) -> DataFrame:
     raw = F.col("raw")
-    return document_citations(spark, sf_dir).select("doc_id", "raw", extract.alias_key(raw).alias("alias_key"), extract.graph_key(raw).alias("graph_key"), extract.citation_type(raw).alias("type"))
+    return found.select("doc_id", "raw", extract.alias_key(raw).alias("alias_key"), extract.graph_key(raw).alias("graph_key"), extract.citation_type(raw).alias("type"))
 
 
 @query()
@@ -568,7 +586,7 @@ def document_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH t AS (SELECT doc_id, length(replace(coalesce(text, ''), chr(10), ' ')) AS n, doc_id % 40 + 1 AS s FROM documents), p AS (SELECT *, length('1. Head ') + n + 1 AS s1, length(s::VARCHAR) AS w FROM t)
 SELECT doc_id, unnest(['section', 'chapter_heading', 'section']) AS type, unnest(['1', 'IV', s || 'A']) AS number, unnest([80, 40, 80])::INT AS priority, unnest([0, s1, s1 + 11])::INT AS char_start, unnest([s1, s1 + 11, s1 + 11 + w + 7])::INT AS char_end,
   unnest([NULL, 'IV', 'IV']) AS chapter, NULL::VARCHAR AS part FROM p""")
-def document_provisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def provisions_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents' whole texts as the first section of an act, on one line, and a chapter with another behind it."""
     line = F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(" "))
     acts = F.concat(F.lit("1. Head "), line, F.lit("\nCHAPTER IV\n"), (F.col("doc_id") % 40 + 1).cast("string"), F.lit("A. Last"))
@@ -576,6 +594,16 @@ def document_provisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "type", "number", "priority", F.col("char_start").cast("int").alias("char_start"), F.col("char_end").cast("int").alias("char_end"), "chapter", "part")
 
 
+@query()
+def document_provisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.provisions(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
+@query()
+def document_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.facet(table(spark, sf_dir, "documents").select(judgments.disposition(F.col("text")).alias("disposition")), "disposition")
+
+
 @query()
 def document_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", extract.parties(F.col("text")).alias("p")).select("doc_id", F.md5("p.petitioner").alias("petitioner_md5"), F.md5("p.respondent").alias("respondent_md5"))
@@ -583,7 +611,7 @@ def document_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT CASE doc_id % 3 WHEN 0 THEN 'DISPOSED OF' WHEN 1 THEN 'DISMISSED AS INFRUCTUOUS' END AS disposition, count(*) AS n FROM documents GROUP BY 1""")
-def document_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dispositions_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's disposition in a clerk's words, with its source behind it; a third say nothing."""
     key = F.col("doc_id") % 3
     raw = F.when(key == 0, F.concat(F.lit("Disposed off, "), F.substring("source", 1, 20))).when(key == 1, F.concat(F.lit("dismised as infractuous "), F.substring("source", 1, 20))).otherwise("12-3 internal")
