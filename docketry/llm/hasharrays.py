@@ -26,9 +26,13 @@ _CODEC = pa.Codec("zstd", 1)
 BLOBS = "bucket int, size long, blob binary"
 
 
-def bucket_bits(spark: SparkSession) -> int:
-    """Enough buckets for the session's shuffle partitions: 256 at least."""
-    return max(8, (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length())
+#: Bytes of text whose keys a bucket holds: a task merges one in memory.
+BUCKET_BYTES = 64 << 20
+
+
+def bucket_bits(spark: SparkSession, n_bytes: int = 0) -> int:
+    """Enough buckets for the session's shuffle partitions, 256 at least, and for so many bytes of text."""
+    return max(8, (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length(), (n_bytes // BUCKET_BYTES).bit_length())
 
 
 def _planes(a: np.ndarray) -> bytes:

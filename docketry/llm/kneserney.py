@@ -44,6 +44,8 @@ END = np.uint64(0x5D1E4F3A9B27C680)
 _AT_ONCE = 1 << 18
 #: Contexts before more different words than this have their sums stored; those of others are made from their counts.
 LONG = 16
+#: Tokens that are looked up at once: each lookup visits every bucket, so that few are dear.
+TOKENS = 1 << 20
 _MADE = pa.schema([("bucket", pa.int64()), ("n", pa.int64()), ("total", pa.int64()), ("place", pa.list_(pa.int64())), ("count", pa.list_(pa.int64()))])
 
 
@@ -207,6 +209,23 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, bounds + np.arange(n + 1)
 
 
+def _grouped(batches: Iterator[pa.RecordBatch], text: int = 0) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Texts of a task in groups of some ``TOKENS``: the first column of each, the tokens, and each text's first token."""
+    first, tokens, sizes, n = [], [], [], 0
+    for batch in batches:
+        for start, end, data, offsets in ta.parts(batch.column(text)):
+            t, bounds = _tokens(data, offsets)
+            first.append(batch.column(0).slice(start, end - start))
+            tokens.append(t)
+            sizes.append(np.diff(bounds))
+            n += len(t)
+            if n >= TOKENS:
+                yield pa.concat_arrays(first), np.concatenate(tokens), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+                first, tokens, sizes, n = [], [], [], 0
+    if n:
+        yield pa.concat_arrays(first), np.concatenate(tokens), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+
+
 def _numbered(model: Model, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     unique, inverse = np.unique(tokens, return_inverse=True)
     number, count = model.numbers(unique)
@@ -231,9 +250,10 @@ def train(documents: DataFrame, text: str = "text", order: int = 2) -> Model:
         raise ValueError(f"order {order} is below 2")
     spark = documents.sparkSession
     small_batches(spark)
-    model = Model(new_folder(spark, "kneser-ney"), ha.bucket_bits(spark), order)
-    buckets = 1 << model.bits
     texts = _texts(documents, text)
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    model = Model(new_folder(spark, "kneser-ney"), ha.bucket_bits(spark, n_bytes), order)
+    buckets = 1 << model.bits
     made = "bucket long, n long, total long, place array<long>, count array<long>"
 
     def described(bucket: int, counts: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
@@ -256,14 +276,12 @@ def train(documents: DataFrame, text: str = "text", order: int = 2) -> Model:
     def count_grams(k: int) -> DataFrame:
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counter = ha.Counter(lambda keys: model.bucket(k, keys))
-            for batch in batches:
-                for _, _, data, offsets in ta.parts(batch.column(0)):
-                    tokens, bounds = _tokens(data, offsets)
-                    words, _ = _numbered(model, tokens)
-                    numbers = words
-                    for j in range(2, k):
-                        numbers = model.found(j, _contexts(model, j - 1, numbers, bounds), words)[0]
-                    yield from counter.add(model.keys(k, _contexts(model, k - 1, numbers, bounds), words))
+            for _, tokens, bounds in _grouped(batches):
+                words, _ = _numbered(model, tokens)
+                numbers = words
+                for j in range(2, k):
+                    numbers = model.found(j, _contexts(model, j - 1, numbers, bounds), words)[0]
+                yield from counter.add(model.keys(k, _contexts(model, k - 1, numbers, bounds), words))
             yield from counter.flush()
 
         return ha.merged(texts.mapInArrow(work, ha.BLOBS), buckets)
@@ -431,19 +449,17 @@ def score(documents: DataFrame, model: Model, id: str = "doc_id", text: str = "t
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in batches:
-            for start, end, data, offsets in ta.parts(batch.column(1)):
-                tokens, bounds = _tokens(data, offsets)
-                numbers, count = _numbered(m, tokens)
-                size = np.diff(bounds)
-                p = _probabilities(m, numbers, bounds)
-                base = np.log10((count.astype(np.float64) + 1) / (m.tokens + m.words + 1))
-                first = bounds[:-1]
-                total = np.add.reduceat(np.log10(p), first)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, end - start), pa.array(size), pa.array(np.add.reduceat((count > 0).astype(np.int64), first)), pa.array(np.full(len(size), m.tokens)), pa.array(np.add.reduceat(base, first)), pa.array(total), pa.array(10 ** np.minimum(300, -total / size))],
-                    names=[id, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"],
-                )
+        for ids, tokens, bounds in _grouped(batches, 1):
+            numbers, count = _numbered(m, tokens)
+            size = np.diff(bounds)
+            p = _probabilities(m, numbers, bounds)
+            base = np.log10((count.astype(np.float64) + 1) / (m.tokens + m.words + 1))
+            first = bounds[:-1]
+            total = np.add.reduceat(np.log10(p), first)
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(size), pa.array(np.add.reduceat((count > 0).astype(np.int64), first)), pa.array(np.full(len(size), m.tokens)), pa.array(np.add.reduceat(base, first)), pa.array(total), pa.array(10 ** np.minimum(300, -total / size))],
+                names=[id, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"],
+            )
 
     kind = documents.schema[id].dataType.simpleString()
     frame = documents.select(id, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
