@@ -203,6 +203,7 @@ def legacy_font_class(text: Column) -> Column:
 
 def provision_type(text: Column) -> Column:
     """The legal nature of a provision by its modal verbs."""
+    # Tried in this order.
     rules = [
         (r"\bnotwithstanding\s+anything\s+contained\s+in\b", "overriding"),
         (r"\bshall\s+not\b|\bno\s+person\s+shall\b|\bit\s+shall\s+be\s+unlawful\b", "prohibitory"),
@@ -215,6 +216,7 @@ def provision_type(text: Column) -> Column:
 
 def legal_markers(text: Column) -> dict[str, Column]:
     """Flags of provisos, explanations, illustrations, overriding and saving clauses."""
+    # The flags and their patterns.
     patterns = {
         "has_proviso": r"(?i)(?:^|\n)\s*Provided\s+that\b",
         "has_explanation": r"(?i)(?:^|\n)\s*Explanation\s*[.:\-—]",
@@ -227,6 +229,7 @@ def legal_markers(text: Column) -> dict[str, Column]:
 
 def section_status(text: Column) -> Column:
     """Whether a section is omitted, repealed, not yet in force, substituted or in force, by marks at its head."""
+    # How far the marks may stand from the start, and the marks.
     stripped = F.trim(text)
     head = F.lower(F.substring(stripped, 1, 200))
     return (
@@ -240,6 +243,7 @@ def section_status(text: Column) -> Column:
 
 def delegation_type(text: Column, section_number: Column) -> Column:
     """What power a section delegates: rules, regulations, notification, order or none (null); never the first section."""
+    # Tried in this order.
     rules = [
         (r"\bmay\s*(?:,\s*by\s+notification[^,]*,\s*)?make\s+rules\b", "rules"),
         (r"\bmay\s*(?:,\s*by\s+notification[^,]*,\s*)?make\s+regulations\b", "regulations"),
@@ -258,6 +262,7 @@ def legal_subjects(*parts: Column) -> Column:
 
 def document_class(text: Column) -> Column:
     """A sampled order's class by its length and headings."""
+    # Headings and lengths.
     upper, n = F.upper(text), F.length(F.trim(F.coalesce(text, F.lit(""))))
     status = upper.contains("CASE INFORMATION") & (upper.contains("FILING NUMBER") | upper.contains("CURRENT STATUS"))
     return (

@@ -44,7 +44,7 @@ def merged_distribution(collections: Sequence[DataFrame], dimensions: Sequence[s
 
 
 def issuers(provisions: DataFrame, act: str, year: str) -> DataFrame:
-    """Per issuer of acts: instruments, provisions, first and last year and how many instruments have one, and whether the parts add up to the whole."""
+    """Per issuer of acts: instruments, provisions, first and last year and how many instruments have one; ``adds_up`` says whether the parts make the whole."""
     acts = provisions.groupBy(act).agg(F.count("*").alias("provisions"), F.max(year).alias("year"))
     of = acts.select(naming.issuer(F.col(act)).alias("i"), "provisions", "year").select("i.*", "provisions", "year")
     out = of.groupBy("issuer", "kind").agg(
