@@ -160,6 +160,11 @@ def _first(items: Column, ok: Callable[[Column], Column]) -> Column:
     return F.get(F.filter(items, ok), F.lit(0))
 
 
+def _first_of(items: Sequence[Column], ok: Callable[[Column], Column]) -> Column:
+    """The first of ``items`` that is ok; those behind it aren't computed."""
+    return F.coalesce(*(_let(item, lambda x: F.when(ok(x), x)) for item in items))
+
+
 def _words(text: Column) -> Column:
     return F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
 
@@ -215,7 +220,8 @@ def parties(text: Column, header: Column) -> Column:
     """
 
     def nearest(lines: Column) -> Column:
-        return _first(F.transform(F.filter(F.transform(lines, strip), lambda x: x != ""), party_name), lambda x: x.isNotNull())
+        # lines behind the first that names one aren't looked at
+        return F.aggregate(F.filter(F.transform(lines, strip), lambda x: x != ""), F.lit(None).cast("string"), lambda name, line: F.coalesce(name, party_name(line)))
 
     def split(halves: Column) -> Column:
         before, after = F.get(halves, F.lit(0)), F.get(halves, F.lit(1))
@@ -224,11 +230,20 @@ def parties(text: Column, header: Column) -> Column:
 
     def on_one_line(head: Column) -> Column:
         p, r = ([_party_of_line(F.nullif(F.regexp_extract(head, x, g), F.lit(""))) for x in PARTIES] for g in (1, 2))
-        answer = F.when(p[0].isNotNull(), r[0]).when(p[1].isNotNull(), F.coalesce(r[1], r[0])).otherwise(F.coalesce(r[2], r[1], r[0]))
-        return F.struct(F.coalesce(*p).alias("petitioner"), F.coalesce(answer, _party_of_line(F.nullif(F.regexp_extract(head, RESPONDENT, 1), F.lit("")))).alias("respondent"))
+        alone = _party_of_line(F.nullif(F.regexp_extract(head, RESPONDENT, 1), F.lit("")))
+
+        def answered(k: int, name: Column) -> Column:
+            return F.struct(name.alias("petitioner"), F.coalesce(*reversed(r[: k + 1]), alone).alias("respondent"))
+
+        def tried(k: int) -> Column:
+            # each pattern is tried once, and only where those before found nobody
+            return _let(p[k], lambda name: answered(k, name) if k == len(PARTIES) - 1 else F.when(name.isNotNull(), answered(k, name)).otherwise(tried(k + 1)))
+
+        return tried(0)
 
     searched = F.coalesce(F.nullif(F.substring(text, 1, SEARCHED), F.lit("")), header)
-    return F.when(F.coalesce(searched.rlike(VERSUS), F.lit(False)), _let(F.split(searched, VERSUS, 2), split)).otherwise(_let(F.coalesce(header, F.lit("")), on_one_line))
+    # one search both tells whether something parts them and parts them
+    return _let(F.split(searched, VERSUS, 2), lambda halves: F.when(F.coalesce(F.size(halves) > 1, F.lit(False)), split(halves)).otherwise(_let(F.coalesce(header, F.lit("")), on_one_line)))
 
 
 def judges(header: Column) -> Column:
@@ -238,8 +253,8 @@ def judges(header: Column) -> Column:
         names = F.transform(F.split(strip(raw), JUDGE_PARTS), lambda x: F.btrim(_cleaned(strip(x), JUDGE_CLEANING), F.lit(" \t\n:-.,")))
         return F.filter(names, lambda x: is_name(x, 4, 50) & ~x.rlike(NOT_JUDGES) & (F.size(_words(x)) <= MOST_WORDS))
 
-    found = F.filter(F.array(*(F.regexp_extract(F.coalesce(header, F.lit("")), p, 1) for p in JUDGES)), lambda x: x != "")
-    return F.coalesce(_first(F.transform(found, named), lambda x: F.size(x) > 0), F.array().cast("array<string>"))
+    found = (_let(F.regexp_extract(F.coalesce(header, F.lit("")), p, 1), lambda x: F.when(x != "", named(x))) for p in JUDGES)
+    return F.coalesce(_first_of(list(found), lambda x: F.size(x) > 0), F.array().cast("array<string>"))
 
 
 def advocate(header: Column, patterns: Sequence[str]) -> Column:
@@ -248,8 +263,8 @@ def advocate(header: Column, patterns: Sequence[str]) -> Column:
     def plausible(x: Column) -> Column:
         return F.length(x).between(4, 49) & ~F.lower(x).isin(NO_ADVOCATES) & x.rlike("[A-Za-z]{3,}")
 
-    found = F.transform(F.array(*(F.regexp_extract(header, p, 1) for p in patterns)), strip)
-    return _let(_cleaned(_first(found, plausible), ADVOCATE_CLEANING), lambda x: F.when((F.length(x) >= 3) & ~x.rlike(NOT_ADVOCATES), x))
+    found = [strip(F.regexp_extract(header, p, 1)) for p in patterns]
+    return _let(_cleaned(_first_of(found, plausible), ADVOCATE_CLEANING), lambda x: F.when((F.length(x) >= 3) & ~x.rlike(NOT_ADVOCATES), x))
 
 
 def advocates(header: Column) -> Column:
@@ -269,7 +284,7 @@ def lower_court(text: Column) -> Column:
         long_enough = (lower.rlike(KINDS_OF_COURT) | (F.length(x) > 20)) & F.length(x).between(6, 99)
         return ~lower.isin(NO_LOWER_COURTS) & ~lower.rlike(NOT_LOWER_COURTS) & long_enough & is_name(x)
 
-    return _first(F.transform(F.array(*(F.regexp_extract(text, p, 1) for p in LOWER_COURTS)), collapse), valid)
+    return _first_of([collapse(F.regexp_extract(text, p, 1)) for p in LOWER_COURTS], valid)
 
 
 def first_report(text: Column) -> Column:
@@ -289,8 +304,8 @@ def court_of_header(header: Column) -> Column:
     def place(x: Column) -> Column:
         return F.when(F.length(x).between(3, 40), _first(F.array(*map(F.lit, PLACES)), lambda p: F.contains(F.lower(x), p)))
 
-    places = F.transform(F.array(*(F.regexp_extract(header, p, 1) for p in COURT_NAMES)), place)
-    return F.concat(F.lit("High Court of "), F.initcap(_first(places, lambda x: x.isNotNull())))
+    places = F.coalesce(*(_let(F.regexp_extract(header, p, 1), place) for p in COURT_NAMES))
+    return F.concat(F.lit("High Court of "), F.initcap(places))
 
 
 def people(text: Column, header: Column) -> Column:

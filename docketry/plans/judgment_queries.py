@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import classify, judgments
 from ..operators import audit, graph, metadata
 from ..sources import sinks, tribunals
-from .queries import query, table
+from .queries import query, spread, table
 
 
 @query("""
@@ -25,7 +25,7 @@ def judgment_people(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(" ...Petitioner\n---\nVersus\n---\nState of "), seg, F.lit(" ....Respondent\nFor Petitioner: Mr. Anil "), seg, F.lit(", Advocate. For Respondent: Ms. Rita "), seg,
         F.lit(", Advocate.\nAppeal against the order of the District Judge. FIR No. "), n, F.lit(" of "), y, F.lit(" under Section "), n, F.lit(" of the Indian "), seg, F.lit(" Act."),
     )
-    texts = table(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_custkey") % 3 < 2, said).otherwise(seg).alias("t"))
+    texts = spread(table(spark, sf_dir, "customer")).select("c_custkey", F.when(F.col("c_custkey") % 3 < 2, said).otherwise(seg).alias("t"))
     found = texts.select("c_custkey", judgments.full_metadata(F.col("t")).alias("m"))
     return found.select("c_custkey", *(F.col("m")[c].alias(c) for c in ("decision_date", "judges", "bench_strength", "petitioner", "respondent", "petitioner_advocates", "respondent_advocates", "court", "lower_court", "first_report")), F.transform("m.acts_cited", lambda a: F.concat_ws("|", a["section"], a["act"])).alias("acts_cited"))
 
