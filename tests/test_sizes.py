@@ -1,5 +1,7 @@
 """What grows with the tables: work is in as many parts as cores need, and pairs that can't match don't meet."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from docketry.plans.queries import spread
@@ -22,3 +24,21 @@ def test_people_are_found_once_and_by_the_first_pattern(spark):
     assert got[3] == got[4] == (None, None, []) and got[5][2] == ["A B SEN"]
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(people.VERSUS) == 1
+
+
+def test_similar_names_are_found_without_comparing_all(spark):
+    """Against every pair compared; names of the same id count as one, and trigrams that all names hold join nothing."""
+    from docketry.operators import retrieval
+
+    draw = random.Random(7)
+    names = [(k, f"Supplier#{draw.randrange(10**4):06}") for k in range(300)] + [(300, None), (301, ""), (302, "#"), (5, "other words"), (303, "a")]
+    table = spark.createDataFrame(names, "id long, name string")
+    asked = table.filter("id % 3 = 0").select(F.col("id").alias("q"), F.col("name").alias("query"))
+    grams: dict[int, set[str]] = {}
+    for r in table.select("id", retrieval.trigrams(F.col("name")).alias("t")).collect():
+        grams.setdefault(r.id, set()).update(r.t or [])
+    for least in (0.3, 0.8, 1.0):
+        found = retrieval.trigram_search(table, asked, "id", "name", "q", "query", least)
+        want = {(a, b): len(x & y) / len(x | y) for a, x in grams.items() if a % 3 == 0 for b, y in grams.items() if x & y and len(x & y) / len(x | y) >= least}
+        got = found.collect()
+        assert len(got) == len(want) and {(r.q, r.id): r.similarity for r in got} == want
