@@ -14,21 +14,32 @@ from pyspark.sql import functions as F
 from ..functions.redaction import _let
 
 
+#: Fixed value: a noncharacter, which texts don't hold as a rule.
+MARK = "\uffff"
+
+
 def places(text: Column, pattern: str, groups: int = 0) -> Column:
     """An array of structs of all matches of a pattern, none of them empty: ``at``, ``whole`` and ``g1`` and so on; an empty array where there are none.
 
-    A text is cut at its matches; a match stands behind all earlier pieces and matches.
+    A match stands behind all earlier pieces and matches.  One search marks each match and
+    its groups, and the text is cut at the marks; texts that hold the mark are searched once for each part of a match.
     """
+    names = ["piece", "whole", *(f"g{k}" for k in range(1, groups + 1))]
+    kind = "array<struct<" + ",".join(f"{n}:string" for n in names) + ">>"
 
     def found(pieces: Column) -> Column:
         whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
         parts = F.arrays_zip(pieces, whole, *(F.regexp_extract_all(text, F.lit(pattern), F.lit(k)) for k in range(1, groups + 1)))
-        names = ["piece", "whole", *(f"g{k}" for k in range(1, groups + 1))]
-        kind = "array<struct<" + ",".join(f"{n}:string" for n in names) + ">>"
         # behind the last match one piece is left
         return _let(F.slice(parts.cast(kind), 1, F.size(whole)), lambda rows: _with_offsets(rows, groups))
 
-    return F.when(text.rlike(pattern), _let(F.split(text, pattern, -1), found)).otherwise(F.array().cast(_kind(groups)))
+    def cut(parts: Column) -> Column:
+        rows = F.transform(F.sequence(F.lit(0), F.size(parts) - 2, F.lit(groups + 2)), lambda i: F.struct(*(F.get(parts, i + k).alias(n) for k, n in enumerate(names))))
+        return F.when(F.size(parts) > 1, _let(rows, lambda rows: _with_offsets(rows, groups))).otherwise(F.array().cast(_kind(groups)))
+
+    marked = F.regexp_replace(text, f"({pattern})", MARK + "".join(f"${k}{MARK}" for k in range(1, groups + 2)))
+    slow = F.when(text.rlike(pattern), _let(F.split(text, pattern, -1), found)).otherwise(F.array().cast(_kind(groups)))
+    return F.when(F.contains(text, F.lit(MARK)), slow).when(text.isNotNull(), _let(F.split(marked, MARK, -1), cut)).otherwise(F.array().cast(_kind(groups)))
 
 
 def _kind(groups: int) -> str:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import naming
+from ..functions.classify import matches
 from ..functions.redaction import _let
 from ..functions.text import strip
 from .chunking import BODY, CONTENTS, CONTENTS_LENGTH, FOOTNOTE_LINE
@@ -81,7 +82,7 @@ def _contents_end(text: Column) -> Column:
 
         return _let(F.substr(text, end + 1), body)
 
-    return F.when(text.rlike(CONTENTS), _let(F.get(places(text, CONTENTS), F.lit(0)), of)).otherwise(0)
+    return F.when(matches(text, CONTENTS, F.upper(text)), _let(F.get(places(text, CONTENTS), F.lit(0)), of)).otherwise(0)
 
 
 def boundaries(acts: DataFrame, id: str = "act_id", text: str = "text") -> DataFrame:

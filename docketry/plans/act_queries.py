@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import legislation
 from ..operators import footnotes, matches, provisions
 from ..sources import paged
-from .queries import query, table
+from .queries import query, spread, table
 
 _NOTES = "n AS (SELECT p_partkey, p_name, p_brand, p_type, p_size AS a, p_size + 7 AS b, p_partkey % 90 + 1 AS no, 1950 + p_partkey % 60 AS y, p_partkey % 2 = 1 AS odd FROM part)"
 
@@ -60,7 +60,7 @@ def _acts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("An Act to make "), "p_name", F.lit("\n\n"), F.repeat(F.lit("w "), 50), F.lit("\nCHAPTER II\n"), "p_name", F.lit("\n\n1. Definitions.—In this\n"), F.array_join(clause, ""), F.lit("2. "), "p_type", F.lit(".—[Omitted by Act 3 of 1999]\n3A. "), "p_brand",
         F.lit(".—\n\n"), F.array_join(paragraphs, "\n\n"),
     )
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("act_id"), text.alias("text"))
+    return spread(table(spark, sf_dir, "part"), "p_partkey").select(F.col("p_partkey").alias("act_id"), text.alias("text"))
 
 
 @query(f"""
@@ -104,7 +104,7 @@ def found_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A part's name in a text that breaks its lines elsewhere; places are those of the text as it is."""
     kind = F.col("p_partkey") % 3
     written = F.when(kind == 0, F.col("p_name")).when(kind == 1, F.replace("p_name", F.lit(" "), F.lit("\n  "))).otherwise(F.replace("p_name", F.lit(" "), F.lit("-")))
-    texts = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.concat("p_type", F.lit("\n"), written, F.lit(" "), "p_brand").alias("text"))
+    texts = spread(table(spark, sf_dir, "part")).select("p_partkey", "p_name", F.concat("p_type", F.lit("\n"), written, F.lit(" "), "p_brand").alias("text"))
     return texts.select("p_partkey", matches.find_tolerant(F.col("p_name"), F.col("text")).alias("f")).select("p_partkey", F.col("f.begin").cast("long").alias("begin"), F.col("f.end").cast("long").alias("end"))
 
 

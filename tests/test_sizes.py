@@ -42,3 +42,21 @@ def test_similar_names_are_found_without_comparing_all(spark):
         want = {(a, b): len(x & y) / len(x | y) for a, x in grams.items() if a % 3 == 0 for b, y in grams.items() if x & y and len(x & y) / len(x | y) >= least}
         got = found.collect()
         assert len(got) == len(want) and {(r.q, r.id): r.similarity for r in got} == want
+
+
+def test_acts_of_one_file_are_searched_by_all_cores(spark):
+    from docketry.plans import act_queries
+
+    assert act_queries._acts(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+
+
+def test_places_are_the_same_whether_or_not_a_text_holds_the_mark(spark):
+    """One search marks the matches; a text that holds the mark itself is searched as before."""
+    from docketry.operators import matches
+
+    texts = ["a1 b22\né\U0001f600c3", "none", "", None, "7", f"a1{matches.MARK}b22", "x$1 \\2"]
+    pattern = r"([a-z])?(\d+)"
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string").select("k", matches.places(F.col("t"), pattern, 2).alias("p"))
+    got = {r.k: [tuple(m) for m in r.p] for r in rows.collect()}
+    assert got == {0: [(0, "a1", "a", "1"), (3, "b22", "b", "22"), (9, "c3", "c", "3")], 1: [], 2: [], 3: [], 4: [(0, "7", "", "7")], 5: [(0, "a1", "a", "1"), (3, "b22", "b", "22")], 6: [(2, "1", "", "1"), (5, "2", "", "2")]}
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count(f"(({pattern})") <= 1
