@@ -29,7 +29,7 @@ def act_footnotes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(").\n**Section "), F.col("p_size") + 7, F.lit(". "), "p_type", F.lit(" .-** More 2[word] and 9[none].\n1. Ins. by Act "), no + 1, F.lit(" of "), year, F.lit(", s. 3\n2. vide notification No. "), no, F.lit("/"), year,
         F.when(F.col("p_partkey") % 2 == 1, "\n2. Omitted by Act 7 of 2001\n").otherwise("\n"),
     )
-    return footnotes.act_footnotes(table(spark, sf_dir, "part").select("p_partkey", text.alias("text")), "p_partkey").drop("at")
+    return footnotes.act_footnotes(spread(table(spark, sf_dir, "part"), "p_partkey").select("p_partkey", text.alias("text")), "p_partkey").drop("at")
 
 
 @query(f"""
@@ -41,7 +41,7 @@ SELECT p_partkey, id::BIGINT AS id, text, type, by_act, original_text FROM rows"
 def structured_footnotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     no, year = F.col("p_partkey") % 90 + 1, 1950 + F.col("p_partkey") % 60
     text = F.concat(F.col("p_name"), F.lit("\n[Footnotes]\n1. Subs. by  Act "), no, F.lit(" of "), year, F.lit(" for '"), "p_brand", F.lit("'\n2. "), "p_type", F.lit("\nadded\n"), F.col("p_size") + 10, F.lit(". See "), "p_name", F.lit("\n"))
-    return table(spark, sf_dir, "part").select("p_partkey", F.inline(footnotes.structured_footnotes(text)))
+    return spread(table(spark, sf_dir, "part")).select("p_partkey", F.inline(footnotes.structured_footnotes(text)))
 
 
 # acts of parts: a heading, a definition with as many clauses as the size says, a small section, and one in paragraphs
