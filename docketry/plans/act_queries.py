@@ -132,7 +132,7 @@ def act_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(".\n2. See the Indian Evidence Act, "), year, F.lit(" [Ins. by Act "), no, F.lit(" of "), year, F.lit(", s. "), size, F.lit("]; this repeals the Old Water Act "), (1940 + F.col("p_partkey") % 60).cast("string"),
         F.lit('. "Board" means one, "'), "p_brand", F.lit('" means another, within a period of 30 days or within '), size, F.lit(" years"),
     )
-    texts = table(spark, sf_dir, "part").select("p_partkey", text.alias("t"))
+    texts = spread(table(spark, sf_dir, "part")).select("p_partkey", text.alias("t"))
     m = texts.select("p_partkey", legislation.act_metadata(F.col("t")).alias("m"), legislation.section_metadata(F.col("t"), F.lit("definitions"), F.lit("2")).alias("s"))
     return m.select(
         "p_partkey", *(F.col("m")[c].alias(c) for c in ("territorial_extent", "commencement", "act_number", "act_year")), F.col("m.enacting.ministry").alias("ministry"), F.col("m.enacting.long_title").alias("long_title"),
