@@ -60,3 +60,17 @@ def test_places_are_the_same_whether_or_not_a_text_holds_the_mark(spark):
     got = {r.k: [tuple(m) for m in r.p] for r in rows.collect()}
     assert got == {0: [(0, "a1", "a", "1"), (3, "b22", "b", "22"), (9, "c3", "c", "3")], 1: [], 2: [], 3: [], 4: [(0, "7", "", "7")], 5: [(0, "a1", "a", "1"), (3, "b22", "b", "22")], 6: [(2, "1", "", "1"), (5, "2", "", "2")]}
     assert rows._jdf.queryExecution().optimizedPlan().toString().count(f"(({pattern})") <= 1
+
+
+def test_scores_are_summed_where_a_document_is(spark):
+    """No shuffle of a score for each query and document; rows of the same id and length count as one document."""
+    import re
+
+    from docketry.operators import retrieval
+
+    docs = spark.createDataFrame([(1, "tax law tax"), (2, "tax court"), (3, None), (4, "law of law"), (4, "tax law act")], "d long, text string")
+    queries = spark.createDataFrame([(1, "tax law"), (2, "court unknown"), (3, None)], "query_id long, query string")
+    found = retrieval.bm25(retrieval.postings(docs, "d", "text"), 5, queries, 2, "d")
+    assert {(r.query_id, r.d) for r in found.collect()} == {(1, 1), (1, 4), (2, 2)}
+    plan = found._jdf.queryExecution().sparkPlan().toString() + found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(query_id#\w+, d#|hashpartitioning\(token#\w+, d#", plan)
