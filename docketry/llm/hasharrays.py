@@ -78,6 +78,35 @@ def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(array(9, 8), dtype=np.uint64), array(9 + 8 * n, size).astype(np.uint64)
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different whole numbers, sorted; which of them each value is; and a place of each.
+
+    Places take the lowest bits of the numbers, moved up as far as they go, so that single numbers are sorted and
+    not places by them; where that cuts bits off that put values in order, places are sorted.
+    """
+    n = len(values)
+    if not n:
+        return values, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    low = values.min()
+    moved = (values - low).astype(np.uint64)
+    bits, mask = 64 - int(moved.max()).bit_length(), np.uint64((1 << (n - 1).bit_length()) - 1)
+    if bits < 64:
+        moved <<= np.uint64(bits)
+    moved &= ~mask
+    moved |= np.arange(n, dtype=np.uint64)
+    moved.sort()
+    order = (moved & mask).astype(np.int64)
+    ordered = values[order]
+    if (ordered[1:] < ordered[:-1]).any():
+        order = np.argsort(values)
+        ordered = values[order]
+    first = np.ones(n, bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    which = np.empty(n, np.int64)
+    which[order] = np.cumsum(first) - 1
+    return ordered[first], which, order[first]
+
+
 class Counter:
     """Counts keys of one task; yields packed blobs by bucket, ``bucket_of`` sorted keys."""
 
@@ -94,10 +123,10 @@ class Counter:
         if self.n:
             keys, counts = np.unique(np.concatenate(self.held), return_counts=True)
             self.held, self.n = [], 0
-            bucket = self.bucket_of(keys)
+            bucket = _narrow(self.bucket_of(keys))
             order = np.argsort(bucket, kind="stable")
-            names, starts = np.unique(bucket[order], return_index=True)
-            parts = np.split(order, starts[1:])
+            starts = run_starts(bucket[order])
+            names, parts = bucket[order[starts]], np.split(order, starts[1:])
             for k in range(0, len(parts), 64):
                 some = parts[k : k + 64]
                 yield pa.RecordBatch.from_arrays(
@@ -125,10 +154,14 @@ def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarr
     def done() -> tuple[int, np.ndarray, np.ndarray]:
         parts = [unpack(b) for b in blobs]
         keys, counts = np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
+        many = np.flatnonzero(counts > 1)
+        again, more = keys[many], counts[many] - np.uint64(1)
+        keys.sort()
         first = run_starts(keys)
-        return now, keys[first], np.add.reduceat(counts, first) if len(first) else counts
+        total = np.diff(np.append(first, len(keys))).astype(np.uint64)
+        keys = keys[first]
+        np.add.at(total, np.searchsorted(keys, again), more)
+        return now, keys, total
 
     for batch in batches:
         for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist(), strict=True):
@@ -202,7 +235,9 @@ def lookup(folder: str, prefix: str, buckets: np.ndarray, keys: np.ndarray, fiel
     """For each key, in any order, its place in its bucket's file (-1 if absent) and the values of ``fields`` there (else 0)."""
     place = np.full(len(keys), -1, np.int64)
     values = [np.zeros(len(keys), np.uint64) for _ in fields]
-    order = np.lexsort((keys, buckets))
+    step = buckets[1:] - buckets[:-1]
+    inorder = ((step > 0) | (step == 0) & (keys[1:] >= keys[:-1])).all()
+    order = np.arange(len(keys)) if inorder else np.lexsort((keys, buckets))
     names, starts = np.unique(buckets[order], return_index=True)
     for name, rows in zip(names.tolist(), np.split(order, starts[1:]), strict=True):
         arrays = get(folder, f"{prefix}{name:06d}")

@@ -46,6 +46,8 @@ _AT_ONCE = 1 << 18
 LONG = 16
 #: Tokens that are looked up at once: each lookup visits every bucket, so that few are dear.
 TOKENS = 1 << 20
+#: Bytes of text that are cut into words at once, so that what is worked out of them stays in a core's cache.
+HASHED = 1 << 17
 _MADE = pa.schema([("bucket", pa.int64()), ("n", pa.int64()), ("total", pa.int64()), ("place", pa.list_(pa.int64())), ("count", pa.list_(pa.int64()))])
 
 
@@ -102,9 +104,20 @@ class Model:
         return (keys >> self.shift).astype(np.int64), (keys & ((np.uint64(1) << self.shift) - np.uint64(1))).astype(np.int64)
 
     def bucket(self, k: int, keys: np.ndarray) -> np.ndarray:
-        """By context, so that a context's statistics are made in one place; n-grams of top contexts by key."""
+        """Of sorted keys: by context, so that a context's statistics are made in one place; n-grams of top contexts by key."""
         context = keys >> self.shift
-        return self.word_bucket(ta.mix(np.where(np.isin(context, self.levels[k].top[:, 0].astype(np.uint64)), keys, context)))
+        first = ha.run_starts(context)
+        size = np.diff(np.append(first, len(keys)))
+        top, _ = self.at_top(k, context[first].astype(np.int64))
+        out = np.repeat(self.word_bucket(ta.mix(context[first])), size)
+        rows = np.flatnonzero(np.repeat(top, size))
+        out[rows] = self.word_bucket(ta.mix(keys[rows]))
+        return out
+
+    def at_top(self, k: int, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each context is dealt over all buckets, and its place among those if it is."""
+        place, top = _at(self.levels[k].top[:, 0], contexts)
+        return top, place
 
     def holder(self, k: int, numbers: np.ndarray) -> np.ndarray:
         """The bucket of each n-gram, by its number."""
@@ -126,23 +139,92 @@ class Model:
         """The file of a bucket's counts, in the order of its n-grams."""
         return ha.get(self.folder, f"{'g' if k == self.order else 'n'}{k}-{bucket:06d}")
 
-    def found(self, k: int, context: np.ndarray, word: np.ndarray, counted: bool = False) -> tuple[np.ndarray, np.ndarray]:
-        """Number (-1 if unknown, as where the context or word is) of each n-gram of length ``k``, and its count if ``counted``."""
-        number, count = np.full(len(word), -1, np.int64), np.zeros(len(word), np.int64)
-        rows = np.flatnonzero((context >= 0) & (word >= 0))
-        if len(rows):
-            keys, inverse = np.unique(self.keys(k, context[rows], word[rows]), return_inverse=True)
-            contexts, words = self.apart(keys)
-            place, n = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
-            for b, some in _by_value(self.bucket(k, keys)):
-                runs = ha.get(self.folder, f"g{k}-{b:06d}")
-                at = _within(runs["words"], *_run(runs, contexts[some]), words[some])
-                some, at = some[at >= 0], at[at >= 0]
-                place[some] = at + (self.levels[k].base[b] if k < self.order else 0)
-                if counted and len(some):
-                    n[some] = ha.unescaped(self.counts(k, b), at)
-            number[rows], count[rows] = place[inverse], n[inverse]
-        return number, count
+    def after(self, k: int, who: np.ndarray, first: np.ndarray, words: np.ndarray, scored: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Different n-grams of length ``k`` by context: those of context ``who[g]``, all different, begin at ``first[g]``, with ascending last ``words``.
+
+        The number of each (-1 if unknown, as where the context or word is); if ``scored``, its count, and of each context the total and what discounts
+        set free (0 of unknown ones).  All of a bucket's n-grams lie together before its file is looked at, in the order of the file.
+        """
+        number, count = np.full(len(words), -1, np.int64), np.zeros(len(words) * scored, np.int64)
+        total, freed = np.zeros(len(who) * scored, np.int64), np.zeros(len(who) * scored)
+        groups = np.flatnonzero(who >= 0)
+        if not len(groups):
+            return number, count, total, freed
+        if (np.diff(who[groups]) < 0).any():
+            groups = groups[np.argsort(who[groups])]
+        contexts, size = who[groups], np.diff(np.append(first, len(words)))[groups]
+        rows = _spread(first[groups], size)
+        top, place = self.at_top(k, contexts)
+        group = np.repeat(np.arange(len(groups)), size)
+        bucket = np.repeat(self.word_bucket(ta.mix(contexts.astype(np.uint64))), size)
+        dealt = np.flatnonzero(top[group])
+        bucket[dealt] = self.word_bucket(ta.mix(self.keys(k, contexts[group[dealt]], words[rows[dealt]])))
+        order = np.argsort(ha._narrow(bucket), kind="stable")
+        bucket, group, rows = bucket[order], group[order], rows[order]
+        wanted, at, n = words[rows], np.full(len(rows), -1, np.int64), np.zeros(len(rows) * scored, np.int64)
+        begins = ha.run_starts(bucket)  # rows of each bucket
+        fresh = group[1:] != group[:-1]
+        fresh[begins[1:] - 1] = True
+        entry = np.concatenate([[0], np.flatnonzero(fresh) + 1])  # rows of each context in each bucket
+        size, group = np.diff(np.append(entry, len(rows))), group[entry]
+        contexts = contexts[group]
+        summed = np.zeros((4, len(entry) * scored), np.int64)
+        entries = np.append(np.searchsorted(entry, begins), len(entry))
+        ends = np.append(begins[1:], len(rows))
+        for b, i, j, e, f in zip(bucket[begins].tolist(), begins.tolist(), ends.tolist(), entries[:-1].tolist(), entries[1:].tolist(), strict=True):
+            runs = ha.get(self.folder, f"g{k}-{b:06d}")
+            start, end = _run(runs, contexts[e:f])
+            here = _within(runs["words"], np.repeat(start, size[e:f]), np.repeat(end, size[e:f]), wanted[i:j])
+            hit = np.flatnonzero(here >= 0)
+            at[i:j][hit] = here[hit] + (self.levels[k].base[b] if k < self.order else 0)
+            if scored:
+                counts = runs if k == self.order else self.counts(k, b)
+                n[i:j][hit] = ha.unescaped(counts, here[hit])
+                summed[:, e:f] = self.run_sums(k, b, counts, contexts[e:f], start, end)
+        number[rows] = at
+        if scored:
+            count[rows] = n
+            d = self.levels[k].discount
+            for to, sums in ((groups[group], summed), (groups[top], self.levels[k].top[place[top], 1:].T)):
+                total[to], freed[to] = sums[0], d[1] * sums[1] + d[2] * sums[2] + d[3] * sums[3]
+        return number, count, total, freed
+
+    def run_sums(self, k: int, bucket: int, counts: dict[str, np.ndarray], contexts: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Total of each context's run of counts, and how many are 1, 2 and more: stored for long ones, made from the counts of others.
+
+        Of the contexts that lie in all buckets the long runs have none.
+        """
+        out, size = np.zeros((4, len(contexts)), np.int64), end - start
+        short, long = np.flatnonzero((size > 0) & (size <= LONG)), np.flatnonzero(size > LONG)
+        if len(short):
+            size = size[short]
+            first = np.cumsum(size) - size
+            places = _spread(start[short], size)
+            c = counts["counts"][places]
+            packed = np.add.reduceat(_PACKED[c], first)
+            large = np.flatnonzero(c == 255)
+            out[0, short] = packed & 0xFFFFFFFF
+            if len(large):
+                np.add.at(out[0], short[np.searchsorted(first, large, "right") - 1], ha.unescaped(counts, places[large]) - 255)
+            for n in (1, 2, 3):
+                out[n, short] = packed >> (24 + 8 * n) & 0xFF
+        if len(long):
+            stored = ha.get(self.folder, f"c{k}-{bucket:06d}")
+            place, here = _at(stored["keys"], contexts[long].astype(np.uint64))
+            for n, name in enumerate(("total", "one", "two", "more")):
+                out[n, long[here]] = stored[name][place[here]]
+        return out
+
+    def found(self, k: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Number (-1 if unknown) of each n-gram of length ``k``, given by numbers of its first k - 1 words and of the last."""
+        if not len(word):
+            return np.zeros(0, np.int64)
+        contexts, c, _ = ha.distinct(context)
+        words, w, _ = ha.distinct(word)
+        pairs, inverse, _ = ha.distinct(c * len(words) + w)
+        c, w = np.divmod(pairs, len(words))
+        first = ha.run_starts(c)
+        return self.after(k, contexts[c[first]], first, words[w])[0][inverse]
 
     def ngrams(self, k: int, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Context and last word of the n-grams of these numbers."""
@@ -158,12 +240,30 @@ class Model:
         """The number of the last k - 1 words of each n-gram of length ``k``; all of them were counted."""
         if k == 2:
             return word
-        unique, inverse = np.unique(context, return_inverse=True)
+        first = ha.run_starts(context)
+        unique = context[first]
         shorter = np.full(len(unique), self.levels[k - 2].distinct, np.int64)  # starts alone stay so
         rest = unique < self.levels[k - 1].distinct
         if rest.any():
             shorter[rest] = self.without_first(k - 1, *self.ngrams(k - 1, unique[rest]))
-        return self.found(k - 1, shorter[inverse], word)[0]
+        return self.found(k - 1, np.repeat(shorter, np.diff(np.append(first, len(context)))), word)
+
+
+def _at(there: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each in a sorted array, and whether it is there."""
+    if not len(there):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    place = np.minimum(np.searchsorted(there, wanted), len(there) - 1)
+    return place, there[place] == wanted
+
+
+#: What a count below 255, or the mark of a larger one, adds to a total (32 bits) and to the numbers of counts of 1, 2 and more (8 bits each) of a short run.
+_PACKED = np.arange(256, dtype=np.int64) + np.array([0, 1 << 32, 1 << 40] + [1 << 48] * 253, np.int64)
+
+
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``size`` places from each start on, one after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
 
 
 def _by_value(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -186,17 +286,25 @@ def _run(runs: dict[str, np.ndarray], contexts: np.ndarray) -> tuple[np.ndarray,
 
 def _within(words: np.ndarray, start: np.ndarray, end: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """The place of each wanted word in its own sorted run; -1 where it isn't there."""
-    low, high = start.copy(), end.copy()
-    open_ = np.flatnonzero(low < high)
-    while len(open_):
-        middle = (low[open_] + high[open_]) >> 1
-        below = words[middle] < wanted[open_]
-        low[open_[below]], high[open_[~below]] = middle[below] + 1, middle[~below]
-        open_ = open_[low[open_] < high[open_]]
     out = np.full(len(wanted), -1, np.int64)
-    inside = np.flatnonzero(low < end)
-    inside = inside[words[low[inside]] == wanted[inside]]
-    out[inside] = low[inside]
+    if not len(words):
+        return out
+    kind, at = wanted.astype(words.dtype), start.copy()
+    rows = np.flatnonzero(end - start > 1)
+    low, size, w = start[rows], (end - start)[rows], kind[rows]
+    while len(rows):
+        half = size >> 1
+        middle = low + half
+        low = np.where(words[middle] <= w, middle, low)
+        size -= half
+        open_ = size > 1
+        left = np.count_nonzero(open_)
+        if 2 * left <= len(rows):
+            at[rows] = low
+            rows, low, size, w = rows[open_], low[open_], size[open_], w[open_]
+    hit = np.flatnonzero((start < end) & (kind == wanted))
+    hit = hit[words[at[hit]] == kind[hit]]
+    out[hit] = at[hit]
     return out
 
 
@@ -213,7 +321,7 @@ def _grouped(batches: Iterator[pa.RecordBatch], text: int = 0) -> Iterator[tuple
     """Texts of a task in groups of some ``TOKENS``: the first column of each, the tokens, and each text's first token."""
     first, tokens, sizes, n = [], [], [], 0
     for batch in batches:
-        for start, end, data, offsets in ta.parts(batch.column(text)):
+        for start, end, data, offsets in ta.parts(batch.column(text), HASHED):
             t, bounds = _tokens(data, offsets)
             first.append(batch.column(0).slice(start, end - start))
             tokens.append(t)
@@ -226,20 +334,49 @@ def _grouped(batches: Iterator[pa.RecordBatch], text: int = 0) -> Iterator[tuple
         yield pa.concat_arrays(first), np.concatenate(tokens), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
 
 
-def _numbered(model: Model, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    unique, inverse = np.unique(tokens, return_inverse=True)
-    number, count = model.numbers(unique)
-    return number[inverse], count[inverse]
+def _numbered(model: Model, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number (-1 if unknown) and count of each different token, and which of these each token is."""
+    unique, inverse, _ = ha.distinct(tokens)
+    return *model.numbers(unique), inverse
 
 
-def _contexts(model: Model, k: int, numbers: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """What stands before each token, as numbers of n-grams of length ``k``, from those that end with each token."""
-    before = np.empty_like(numbers)
-    before[1:] = numbers[:-1]
-    before[bounds[:-1]] = model.levels[k].distinct  # the number of starts alone
+def _before(there: np.ndarray, bounds: np.ndarray, start: int) -> np.ndarray:
+    """What stands before each token: the n-gram that ends with the token before it, or ``start`` at a text's first."""
+    before = np.empty_like(there)
+    before[1:] = there[:-1]
+    before[bounds[:-1]] = start
     return before
 
 
+@dataclass
+class _Grams:
+    """The different n-grams of one length in a group of texts."""
+
+    number: np.ndarray  # of each; -1 is unknown
+    of: np.ndarray  # which of these ends with each token
+    token: np.ndarray  # a token that each ends with
+    count: np.ndarray
+    context: np.ndarray  # which context each has
+    total: np.ndarray  # of each context
+    freed: np.ndarray
+
+    @classmethod
+    def longer(cls, model: Model, k: int, shorter: _Grams, words: np.ndarray, word: np.ndarray, bounds: np.ndarray, scored: bool = False) -> _Grams:
+        """Of length ``k``, from those one word shorter and the words: their numbers, and which of them each token is."""
+        numbers = np.append(shorter.number, model.levels[k - 1].distinct)  # the last: starts alone
+        pairs, of, token = ha.distinct(_before(shorter.of, bounds, len(numbers) - 1) * len(words) + word)
+        context, w = np.divmod(pairs, len(words))
+        first = ha.run_starts(context)
+        number, count, total, freed = model.after(k, numbers[context[first]], first, words[w], scored)
+        return cls(number, of, token, count, np.repeat(np.arange(len(first)), np.diff(np.append(first, len(pairs)))), total, freed)
+
+
+def _alone(numbers: np.ndarray, of: np.ndarray) -> _Grams:
+    """Words as n-grams of length 1."""
+    nothing = np.zeros(0, np.int64)
+    return _Grams(numbers, of, nothing, nothing, nothing, nothing, nothing)
+
+
 def _texts(frame: DataFrame, text: str) -> DataFrame:
     return frame.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
@@ -264,7 +401,7 @@ def train(documents: DataFrame, text: str = "text", order: int = 2) -> Model:
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = ha.Counter(model.word_bucket)
         for batch in batches:
-            for _, _, data, offsets in ta.parts(batch.column(0)):
+            for _, _, data, offsets in ta.parts(batch.column(0), HASHED):
                 yield from counter.add(_tokens(data, offsets)[0])
         yield from counter.flush()
 
@@ -277,11 +414,12 @@ def train(documents: DataFrame, text: str = "text", order: int = 2) -> Model:
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counter = ha.Counter(lambda keys: model.bucket(k, keys))
             for _, tokens, bounds in _grouped(batches):
-                words, _ = _numbered(model, tokens)
-                numbers = words
+                numbers, _, of = _numbered(model, tokens)
+                grams = _alone(numbers, of)
                 for j in range(2, k):
-                    numbers = model.found(j, _contexts(model, j - 1, numbers, bounds), words)[0]
-                yield from counter.add(model.keys(k, _contexts(model, k - 1, numbers, bounds), words))
+                    grams = _Grams.longer(model, j, grams, numbers, of, bounds)
+                ends = np.append(grams.number, model.levels[k - 1].distinct)[_before(grams.of, bounds, len(grams.number))]
+                yield from counter.add(model.keys(k, ends, numbers[of]))
             yield from counter.flush()
 
         return ha.merged(texts.mapInArrow(work, ha.BLOBS), buckets)
@@ -381,62 +519,32 @@ def train(documents: DataFrame, text: str = "text", order: int = 2) -> Model:
     return model
 
 
-def _lowest(model: Model, numbers: np.ndarray) -> np.ndarray:
-    """Of each token, whatever stands before it; -1 is unknown."""
-    words, inverse = np.unique(numbers, return_inverse=True)
+def _lowest(model: Model, words: np.ndarray) -> np.ndarray:
+    """Of each different word, whatever stands before it; -1 is unknown."""
     known = words >= 0
     out = np.full(len(words), model.freed / (model.words + 1))
     if known.any():
-        n = np.zeros(int(known.sum()), np.int64)
-        for b, some in _by_value(model.holder(1, words[known])):
-            n[some] = ha.unescaped(model.counts(1, b), words[known][some] - model.levels[1].base[b])
+        there = words[known]
+        n = np.zeros(len(there), np.int64)
+        for b, some in _by_value(model.holder(1, there)):
+            n[some] = ha.unescaped(model.counts(1, b), there[some] - model.levels[1].base[b])
         out[known] += (n - model.levels[1].discount[np.minimum(n, 3)]) / model.levels[2].distinct
-    return out[inverse]
-
-
-def _context_sums(model: Model, k: int, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Total of each context's counts, and the share that discounts set free."""
-    level = model.levels[k]
-    contexts, inverse = np.unique(before, return_inverse=True)
-    sums = [np.zeros(len(contexts), np.int64) for _ in range(4)]
-    place = np.minimum(np.searchsorted(level.top[:, 0], contexts), len(level.top) - 1)
-    top = level.top[place, 0] == contexts
-    rest = np.flatnonzero(~top & (contexts >= 0))
-    for n, column in enumerate(sums, 1):
-        column[top] = level.top[place[top], n]
-    for b, some in _by_value(model.word_bucket(ta.mix(contexts[rest].astype(np.uint64)))):
-        some = rest[some]
-        start, end = _run(ha.get(model.folder, f"g{k}-{b:06d}"), contexts[some])
-        long, counts = end - start > LONG, model.counts(k, b)
-        short = np.flatnonzero(~long & (start < end))
-        if len(short):
-            size = (end - start)[short]
-            first = np.cumsum(size) - size
-            c = ha.unescaped(counts, np.repeat(start[short] - first, size) + np.arange(size.sum()))
-            for column, x in zip(sums, (c, c == 1, c == 2, c > 2), strict=True):
-                column[some[short]] = np.add.reduceat(x, first, dtype=np.int64)
-        if long.any():
-            keys = contexts[some[long]].astype(np.uint64)
-            _, *stored = ha.lookup(model.folder, f"c{k}-", np.full(len(keys), b), keys, ("total", "one", "two", "more"))
-            for column, x in zip(sums, stored, strict=True):
-                column[some[long]] = x
-    total, one, two, more = sums
-    d = level.discount
-    return total[inverse], np.where(total > 0, (d[1] * one + d[2] * two + d[3] * more) / np.maximum(total, 1), 1.0)[inverse]
-
-
-def _probabilities(model: Model, words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Of each token after those before it in its text; -1 is unknown."""
-    out, numbers = _lowest(model, words), words
+    return out
+
+
+def _probabilities(model: Model, numbers: np.ndarray, of: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each different n-gram of the model's order, and which of these ends with each token."""
+    out, grams = _lowest(model, numbers), _alone(numbers, of)
     for k in range(2, model.order + 1):
-        before = _contexts(model, k - 1, numbers, bounds)
-        total, free = _context_sums(model, k, before)
-        out *= free
-        numbers, count = model.found(k, before, words, True)
+        shorter, d = grams.of, model.levels[k].discount
+        grams = _Grams.longer(model, k, grams, numbers, of, bounds, True)
+        free = np.where(grams.total > 0, grams.freed / np.maximum(grams.total, 1), 1.0)
+        out = out[shorter[grams.token]] * free[grams.context]
+        total = grams.total[grams.context]
         seen = np.flatnonzero(total > 0)
-        c = count[seen]
-        out[seen] += (c - model.levels[k].discount[np.minimum(c, 3)]) / total[seen]
-    return out
+        c = grams.count[seen]
+        out[seen] += (c - d[np.minimum(c, 3)]) / total[seen]
+    return out, grams.of
 
 
 def score(documents: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -450,14 +558,14 @@ def score(documents: DataFrame, model: Model, id: str = "doc_id", text: str = "t
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for ids, tokens, bounds in _grouped(batches, 1):
-            numbers, count = _numbered(m, tokens)
+            numbers, count, of = _numbered(m, tokens)
             size = np.diff(bounds)
-            p = _probabilities(m, numbers, bounds)
+            p, grams = _probabilities(m, numbers, of, bounds)
             base = np.log10((count.astype(np.float64) + 1) / (m.tokens + m.words + 1))
             first = bounds[:-1]
-            total = np.add.reduceat(np.log10(p), first)
+            total = np.add.reduceat(np.log10(p)[grams], first)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(size), pa.array(np.add.reduceat((count > 0).astype(np.int64), first)), pa.array(np.full(len(size), m.tokens)), pa.array(np.add.reduceat(base, first)), pa.array(total), pa.array(10 ** np.minimum(300, -total / size))],
+                [ids, pa.array(size), pa.array(np.add.reduceat((count > 0).astype(np.int64)[of], first)), pa.array(np.full(len(size), m.tokens)), pa.array(np.add.reduceat(base[of], first)), pa.array(total), pa.array(10 ** np.minimum(300, -total / size))],
                 names=[id, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"],
             )
 
